@@ -1,0 +1,139 @@
+"""Per-sensor state in streams: newest reading, alert cool-down, moving average.
+
+Each processor keeps a few numbers per sensor in the state store.  Rows of one sensor
+inside a micro-batch arrive unordered and are put into arrival order first; how many rows
+that can be is limited by the source rate (``maxOffsetsPerTrigger``).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType, _parse_datatype_string
+
+from isodose import schemas as S
+from isodose.operators.alerts import cooldown_mask
+from isodose.operators.filters import not_safe
+from isodose.operators.latest import ARRIVAL
+from isodose.operators.spikes import ema_before, label_spikes
+
+
+class _PerSensor(StatefulProcessor):
+    """One state value per sensor; subclasses turn ordered rows and state into rows and state."""
+
+    fields = ""
+
+    def __init__(self, order: Sequence[str], ttl_ms: int | None = None):
+        self.order, self.ttl_ms = list(order), ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("state", self.fields, ttl_duration_ms=self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        before = self.state.get() if self.state.exists() else None
+        out, after = self.step(frame, before)
+        if after is not None:
+            self.state.update(after)
+        if len(out):
+            yield out
+
+    def step(self, frame, before):
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+class NewestOnly(_PerSensor):
+    """Rows captured later than everything before."""
+
+    fields = "captured_at bigint"
+
+    def step(self, frame, before):
+        seen = frame["captured_at"].cummax().shift()
+        if before is not None:
+            seen = seen.fillna(before[0]).clip(lower=before[0])
+        out = frame[seen.isna() | (frame["captured_at"] > seen)]
+        return out, (int(out["captured_at"].iloc[-1]),) if len(out) else None
+
+
+class CooledDown(_PerSensor):
+    """Alerts outside the cool-down or at a new level."""
+
+    fields = "captured_at bigint, level string"
+
+    def __init__(self, order, cooldown_ms, ttl_ms=None):
+        super().__init__(order, ttl_ms)
+        self.cooldown_ms = cooldown_ms
+
+    def step(self, frame, before):
+        mask, ts, level = cooldown_mask(
+            frame["captured_at"].tolist(), frame["level"].tolist(), self.cooldown_ms,
+            *(before or (None, None)),
+        )
+        return frame[mask], (int(ts), level)
+
+
+class Averaged(_PerSensor):
+    """Rows with the previous value and the moving average before them."""
+
+    fields = "previous double, average double"
+
+    def __init__(self, order, alpha, ttl_ms=None):
+        super().__init__(order, ttl_ms)
+        self.alpha = alpha
+
+    def step(self, frame, before):
+        previous, average, *after = ema_before(
+            frame["cpm"].tolist(), self.alpha, *(before or (None, None))
+        )
+        out = frame.assign(
+            previous_cpm=pd.Series(previous, index=frame.index, dtype="float64"),
+            average_before=pd.Series(average, index=frame.index, dtype="float64"),
+        )
+        return out, tuple(after)
+
+
+def _run(df: DataFrame, processor: _PerSensor, schema: StructType) -> DataFrame:
+    return df.groupBy("sensor_key").transformWithStateInPandas(
+        processor,
+        outputStructType=schema,
+        outputMode="Append",
+        timeMode="ProcessingTime" if processor.ttl_ms else "None",
+    )
+
+
+def latest_emissions(
+    enriched: DataFrame, order: Sequence[str] = ARRIVAL, ttl_ms: int | None = None
+) -> DataFrame:
+    """Streaming form of :func:`isodose.operators.latest.latest_emissions`.
+
+    With ``ttl_ms`` a sensor that was silent for that long starts afresh.
+    """
+    return _run(enriched, NewestOnly(order, ttl_ms), enriched.schema)
+
+
+def dedup_alerts(
+    enriched: DataFrame,
+    cooldown_ms: int = S.DEFAULTS.cooldown_ms,
+    order: Sequence[str] = ARRIVAL,
+) -> DataFrame:
+    """Streaming form of :func:`isodose.operators.alerts.dedup_alerts`."""
+    return _run(not_safe(enriched), CooledDown(order, cooldown_ms), enriched.schema)
+
+
+def spikes(
+    enriched: DataFrame,
+    jump_ratio: float = S.DEFAULTS.jump_ratio,
+    average_ratio: float = S.DEFAULTS.average_ratio,
+    alpha: float = S.DEFAULTS.ema_alpha,
+    order: Sequence[str] = ARRIVAL,
+) -> DataFrame:
+    """Streaming form of :func:`isodose.operators.spikes.spikes`."""
+    added = _parse_datatype_string("previous_cpm double, average_before double").fields
+    schema = StructType(enriched.schema.fields + added)
+    return label_spikes(_run(enriched, Averaged(order, alpha), schema), jump_ratio, average_ratio)
