@@ -64,11 +64,7 @@ def query(fn: Query) -> Query:
 def csv_scan(spark, sf_dir):
     rows = X.raw(spark, sf_dir)
     path = scratch_path(spark, "csv")
-    names = {name: F.coalesce(F.col(name), F.lit("")) if name in rows.columns else F.lit("")
-             for name in csv.S.RAW_FIELDS}
-    rows.select(*[expr.alias(csv.S.RAW_HEADERS[name]) for name, expr in names.items()]).write.csv(
-        path, header=True, escape='"', emptyValue=""
-    )
+    csv.write_csv(rows, path)
     return csv.read_csv(spark, path).select(
         "captured_time", "uploaded_time", "latitude", "longitude", "value", "unit", "device_id", "md5", "loader_id"
     )
@@ -97,8 +93,7 @@ def csv_messages(spark, sf_dir):
 
 @query
 def partition_keys(spark, sf_dir):
-    rows = X.raw(spark, sf_dir)
-    return rows.select("event_id", csv.partition_key(rows).alias("key"))
+    return csv.with_partition_key(X.raw(spark, sf_dir)).select("event_id", "key")
 
 
 @query

@@ -11,15 +11,13 @@ from isodose.functions.numeric import fixed_decimals
 from isodose.functions.parse import number, strip
 
 _HEADER_SCHEMA = T.StructType([T.StructField(h, T.StringType()) for h in S.RAW_HEADERS.values()])
-_OPTIONS = {
-    "header": "true",
-    "mode": "PERMISSIVE",
-    "encoding": "UTF-8",
+_TEXT = {
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "encoding": "UTF-8", **_TEXT}
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -39,6 +37,16 @@ def read_csv(spark: SparkSession, path: str, max_rows: int = 0) -> DataFrame:
     return raw.limit(max_rows) if max_rows > 0 else raw
 
 
+def write_csv(raw: DataFrame, path: str) -> None:
+    """Raw text fields as CSV files with the standard header; absent fields stay empty."""
+    present = set(raw.columns)
+    fields = [
+        (F.coalesce(F.col(name), F.lit("")) if name in present else F.lit("")).alias(header)
+        for name, header in S.RAW_HEADERS.items()
+    ]
+    raw.select(*fields).write.options(header="true", emptyValue="", **_TEXT).csv(path)
+
+
 def stream_csv(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """CSV files as they appear in a folder; ``max_files`` per trigger limits the rate."""
     reader = spark.readStream.schema(_HEADER_SCHEMA).options(**_OPTIONS)
@@ -59,14 +67,14 @@ def raw_json(raw: DataFrame) -> Column:
 
 def raw_csv_line() -> Column:
     """The alternative raw message: the row as one CSV line in header order."""
-    return F.to_csv(F.struct(*[F.coalesce(F.col(n), F.lit("")).alias(n) for n in S.RAW_FIELDS]),
-                    {"escape": '"', "emptyValue": ""})
+    fields = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in S.RAW_FIELDS]
+    return F.to_csv(F.struct(*fields), {"emptyValue": "", **_TEXT})
 
 
 def from_csv_line(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw text fields back from :func:`raw_csv_line` messages."""
     ddl = ", ".join(f"{name} string" for name in S.RAW_FIELDS)
-    line = F.from_csv(F.col(value).cast("string"), F.lit(ddl), {"escape": '"'})
+    line = F.from_csv(F.col(value).cast("string"), F.lit(ddl), _TEXT)
     record = df.select(*keep, line.alias("_r"))
     return record.select(
         *keep, *[F.coalesce(F.col(f"_r.{n}"), F.lit("")).alias(n) for n in S.RAW_FIELDS]
@@ -79,19 +87,24 @@ def _short_number(value: Column) -> Column:
     return F.when(F.abs(value) < 1e10, text).otherwise(value.cast("string"))
 
 
-def partition_key(raw: DataFrame | None = None) -> Column:
-    """Key that keeps the rows of one source together: device, place, checksum, or null."""
+def with_partition_key(raw: DataFrame, name: str = "key") -> DataFrame:
+    """Add the key that keeps the rows of one source together: device, place, checksum, or null.
+
+    Coordinates are parsed in a projection of their own, since the key uses them repeatedly.
+    """
 
-    def field(name: str) -> Column:
-        if raw is not None and name not in raw.columns:
-            return F.lit("")
-        return strip(F.coalesce(F.col(name), F.lit("")))
+    def field(column: str) -> Column:
+        return strip(F.coalesce(F.col(column), F.lit(""))) if column in raw.columns else F.lit("")
 
     device, checksum = field("device_id"), field("md5")
-    lat, lon = number(field("latitude")), number(field("longitude"))
+    lat, lon = F.col("_lat"), F.col("_lon")
     place = F.concat(F.lit("geo:"), _short_number(lat), F.lit(","), _short_number(lon))
-    return (
+    key = (
         F.when(device != "", F.concat(F.lit("dev:"), device))
         .when(lat.isNotNull() & lon.isNotNull(), place)
         .when(checksum != "", checksum)
     )
+    parsed = raw.select(
+        "*", number(field("latitude")).alias("_lat"), number(field("longitude")).alias("_lon")
+    )
+    return parsed.select(*raw.columns, key.alias(name))

@@ -30,7 +30,7 @@ class _PerSensor(StatefulProcessor):
         self.order, self.ttl_ms = list(order), ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", self.fields, ttl_duration_ms=self.ttl_ms)
+        self.state = handle.getValueState("state", self.fields, ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(rows)).sort_values(self.order, kind="stable")
