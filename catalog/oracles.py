@@ -54,7 +54,7 @@ timed as (
  from raw),
 parsed as (
  select event_id, user_id, arrival_ts, captured_ts, uploaded_time as uploaded_at,
-  cast(trunc(epoch_us(captured_ts) / 1e6 * 1e3) as bigint) as captured_at,
+  epoch_ms(captured_ts) as captured_at,
   {_num('latitude')} as latitude, {_num('longitude')} as longitude, {_num('value')} as cpm,
   lower(trim(unit)) as unit
  from timed),

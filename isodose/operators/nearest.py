@@ -13,10 +13,13 @@ goes through shuffled joins, where adaptive execution splits crowded boxes.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isodose.functions.geo import chord_to_km, unit_sphere
+from isodose.session import durable_dir
 
 AXES = ("x", "y", "z")
 #: 4**10 boxes per axis are 12 m wide: two index bits per level, twenty per axis.
@@ -72,21 +75,16 @@ def _boxes(places: DataFrame, depth: int) -> DataFrame:
 
 
 def _depth_for(places: DataFrame) -> int:
-    """Smallest depth at which no box holds more than ``LEAF_PLACES`` places."""
-    levels = F.array(
-        *[F.struct(F.lit(d).alias("depth"), _box_code(d).alias("code")) for d in range(1, MAX_DEPTH + 1)]
-    )
-    fill = (
-        places.select(F.inline(levels))
-        .groupBy("depth", "code")
-        .count()
-        .groupBy("depth")
-        .agg(F.max("count").alias("most"))
-        .filter(F.col("most") <= LEAF_PLACES)
-        .agg(F.min("depth"))
-        .first()[0]
-    )
-    return MAX_DEPTH if fill is None else fill
+    """Smallest depth, from a first guess on, with at most ``LEAF_PLACES`` places in any box."""
+    total = places.count()
+    # On a surface each level has up to sixteen times the boxes of the one above.
+    depth = max(1, math.ceil(math.log(max(total, 1) / LEAF_PLACES, 16)))
+    while depth < MAX_DEPTH:
+        filled = places.groupBy(_box_code(depth).alias("code")).count()
+        if (filled.agg(F.max("count")).first()[0] or 0) <= LEAF_PLACES:
+            break
+        depth += 1
+    return depth
 
 
 def nearest_place(points: DataFrame, places: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -101,7 +99,9 @@ def nearest_place(points: DataFrame, places: DataFrame, lat: str, lon: str) -> D
     spots = known.groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(
         F.min(F.struct("place_id", "city", "cc")).alias("_place")
     )
-    spots = _on_sphere(spots, "_plat", "_plon")
+    # Every level is built from the spots, so they are written down once.
+    durable_dir(points.sparkSession)
+    spots = _on_sphere(spots, "_plat", "_plon").checkpoint()
     depth = _depth_for(spots)
 
     # The first level has at most 64 boxes whatever the data, so it travels as a literal.
@@ -120,7 +120,7 @@ def nearest_place(points: DataFrame, places: DataFrame, lat: str, lon: str) -> D
         return measure(lambda axis: box["lo_" + axis], lambda axis: box["hi_" + axis])
 
     walk = _on_sphere(points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()), lat, lon)
-    walk = walk.repartition(*point).withColumn("_roots", roots)
+    walk = walk.withColumn("_roots", roots)
     walk = walk.withColumn(
         "_reach", F.array_min(F.transform("_roots", lambda box: bound(_farthest_corner, box)))
     )
