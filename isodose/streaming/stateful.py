@@ -112,7 +112,8 @@ def latest_emissions(
 ) -> DataFrame:
     """Streaming form of :func:`isodose.operators.latest.latest_emissions`.
 
-    With ``ttl_ms`` a sensor that was silent for that long starts afresh.
+    With ``ttl_ms`` a sensor that was silent for that long starts afresh.  Expiry goes by the
+    wall clock, so such a query runs until it is stopped, also with an available-now trigger.
     """
     return _run(enriched, NewestOnly(order, ttl_ms), enriched.schema)
 
