@@ -79,23 +79,28 @@ def slice_hot_keys(
     spark = df.sparkSession
     keys, order = tuple(keys), tuple(order)
     tasks = parallelism(spark)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    bound = max(max_rows, math.ceil((total or 0) / tasks))
-    if (largest or 0) <= bound:
-        return Sliced(df.withColumn(SLICE, F.lit(WHOLE)), None, keys, order)
+    # Kept while the busy keys are looked up, so the rows behind the counts are read once.
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).persist()
+    try:
+        total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
+        bound = max(max_rows, math.ceil((total or 0) / tasks))
+        if (largest or 0) <= bound:
+            return Sliced(df.withColumn(SLICE, F.lit(WHOLE)), None, keys, order)
+        # At most `tasks` rows: more keys than that cannot each exceed an even share.
+        busy = counts.filter(F.col("_n") > bound).collect()
+    finally:
+        counts.unpersist()
 
     durable_dir(spark)
+    hot_rows = sum(row["_n"] for row in busy)
     if keys:
-        # At most `tasks` rows: more keys than that cannot each exceed an even share.
-        busy = counts.filter(F.col("_n") > bound).collect()
-        hot_rows = sum(row["_n"] for row in busy)
         schema = T.StructType([df.schema[key] for key in keys])
         names = F.broadcast(spark.createDataFrame([tuple(row)[:-1] for row in busy], schema))
-        hot = df.join(names, list(keys), "left_semi")
+        # Set aside before range partitioning, which reads its input twice.
+        hot = df.join(names, list(keys), "left_semi").checkpoint()
         cold = df.join(names, list(keys), "left_anti").withColumn(SLICE, F.lit(WHOLE))
     else:
-        hot_rows, hot, cold = total, df, None
+        hot, cold = df, None
     # Range partitioning samples its bounds anew in every job.  The checkpoint pins the
     # slice of each row, so that carries and rows always agree, also after a lost executor.
     hot = (
