@@ -54,7 +54,7 @@ timed as (
  from raw),
 parsed as (
  select event_id, user_id, arrival_ts, captured_ts, uploaded_time as uploaded_at,
-  epoch_ms(captured_ts) as captured_at,
+  cast(trunc(epoch_us(captured_ts) / 1e6 * 1e3) as bigint) as captured_at,
   {_num('latitude')} as latitude, {_num('longitude')} as longitude, {_num('value')} as cpm,
   lower(trim(unit)) as unit
  from timed),
@@ -355,7 +355,7 @@ where rank <= 10 and w = (select max(w) from cells)""",
     "extent": BASE + """select min(latitude) as s, min(longitude) as w, max(latitude) as n, max(longitude) as e
  from enr""",
     "replay_progress": BASE + """, bounds as (
- select epoch_ms(min(arrival_ts)) as t0, epoch_ms(max(arrival_ts)) as t1 from enr)
+ select epoch_us(min(arrival_ts)) // 1000 as t0, epoch_us(max(arrival_ts)) // 1000 as t1 from enr)
 select t0, t1, cast(floor(100 * (epoch_ms(timestamp '2024-01-11') - t0) / (t1 - t0) + 5e-1) as integer) as progress
 from bounds""",
     "sparkline": BASE + f""", series as (
@@ -403,7 +403,7 @@ where geohash in (select geohash from located where sensor_key in (select sensor
     "replay_frame": BASE + """select event_id, sensor_key, captured_at, cpm, level from enr
 where arrival_ts <= timestamp '2024-01-15'
 qualify row_number() over (partition by sensor_key order by arrival_ts desc, event_id desc) = 1""",
-    "replay_frames": BASE + """select cast(ceil((epoch_ms(arrival_ts) - epoch_ms(timestamp '2024-01-01')) / 18e6) as bigint)
+    "replay_frames": BASE + """select cast(ceil((epoch_us(arrival_ts) // 1000 - epoch_ms(timestamp '2024-01-01')) / 18e6) as bigint)
  as frame, count(*) as rows, count(distinct sensor_key) as sensors from enr group by 1""",
     "replay_order": BASE + """select event_id, epoch_us(arrival_ts) as ingested_at from enr
  where event_id % 17 <> 0""",
