@@ -225,8 +225,7 @@ def score(
     kind = rows.schema["ident"].dataType.simpleString()
     return ask_and_answer(
         rows,
-        partial(_ask, order, buckets),
-        partial(_answer, order),
+        [(partial(_ask, order, buckets), partial(_answer, order))],
         partial(_finish, order, buckets, strength),
         buckets,
         f"ident {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",

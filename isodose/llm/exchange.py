@@ -19,36 +19,56 @@ from pyspark.sql import DataFrame
 _NOTES = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("data", pa.binary())])
 _NOTES_DDL = "bucket int, block int, data binary"
 
-Ask = Callable[[pa.Table], list[bytes]]
+Ask = Callable[..., list[bytes]]
 Answer = Callable[[list[bytes]], list[bytes]]
 Finish = Callable[[pa.Table, list[bytes]], pa.Table]
 
 
-def ask_and_answer(rows: DataFrame, ask: Ask, answer: Answer, finish: Finish, buckets: int, schema: str) -> DataFrame:
+def ask_and_answer(
+    rows: DataFrame, rounds: list[tuple[Ask, Answer]], finish: Finish, buckets: int, schema: str
+) -> DataFrame:
     """``rows`` has an int column ``block``.
 
-    ``ask`` gives one binary per bucket; ``answer`` gets those of one bucket and returns as many;
-    ``finish`` gets a block's rows and one answer per bucket.
+    Each round's ``ask`` gives one binary per bucket, from a block's rows and, after the first
+    round, the answers of the round before; ``answer`` gets the binaries of one bucket and returns
+    as many; ``finish`` gets a block's rows and the last answers, one per bucket.
     """
 
-    def asked(key, table):
-        notes = ask(table)
-        places = [pa.array(range(len(notes)), pa.int32()), pa.array([key[0].as_py()] * len(notes), pa.int32())]
-        return pa.table([*places, pa.array(notes, pa.binary())], schema=_NOTES)
-
-    def answered(key, table):
-        notes = answer(table["data"].to_pylist())
-        return pa.table([table["bucket"], table["block"], pa.array(notes, pa.binary())], schema=_NOTES)
+    def asked(ask):
+        def run(key, table, *answers):
+            notes = ask(table, *(_by_bucket(a, buckets) for a in answers))
+            places = [pa.array(range(len(notes)), pa.int32()), pa.array([key[0].as_py()] * len(notes), pa.int32())]
+            return pa.table([*places, pa.array(notes, pa.binary())], schema=_NOTES)
+
+        # Spark tells the two kinds of functions apart by their arguments.
+        return (lambda key, table: run(key, table)), (lambda key, table, answers: run(key, table, answers))
+
+    def answered(answer):
+        def run(key, table):
+            notes = answer(table["data"].to_pylist())
+            return pa.table([table["bucket"], table["block"], pa.array(notes, pa.binary())], schema=_NOTES)
+
+        return run
+
+    def finished(key, table, answers):
+        return finish(table, _by_bucket(answers, buckets))
+
+    answers = None
+    for ask, answer in rounds:
+        first, later = asked(ask)
+        if answers is None:
+            notes = rows.groupBy("block").applyInArrow(first, _NOTES_DDL)
+        else:
+            notes = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(later, _NOTES_DDL)
+        answers = notes.groupBy("bucket").applyInArrow(answered(answer), _NOTES_DDL)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finished, schema)
 
-    def finished(key, table, notes):
-        ordered = [b""] * buckets
-        for bucket, data in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist(), strict=True):
-            ordered[bucket] = data
-        return finish(table, ordered)
 
-    questions = rows.groupBy("block").applyInArrow(asked, _NOTES_DDL)
-    answers = questions.groupBy("bucket").applyInArrow(answered, _NOTES_DDL)
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finished, schema)
+def _by_bucket(notes: pa.Table, buckets: int) -> list[bytes]:
+    ordered = [b""] * buckets
+    for bucket, data in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist(), strict=True):
+        ordered[bucket] = data
+    return ordered
 
 
 def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:

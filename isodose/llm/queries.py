@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, bradley_terry, cross_parse, cube_mix, line_rules, prefix_tokens
+from . import backoff_lm, bradley_terry, cross_parse, cube_mix, fm_dedup, line_rules, ngram_join, prefix_tokens
 from .common import held_out
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -44,6 +44,15 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = ngram_join.link_classes(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
+def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_cube_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube_mix.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -66,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_bradley_terry,
         op3_backoff_automaton,
         op4_line_frequency,
+        op5_ngram_join,
+        op6_fm_index,
         op8_cube_sampling,
         op9_prefix_tokens,
         op10_cross_parsing,
