@@ -67,3 +67,102 @@ class Borders:
             limit = np.where(undo_a, 2 * of_a, 2 * of_b + 1)[go]
             a, b, at = np.where(undo_a, self.right[a], a)[go], np.where(undo_a, b, self.left[b])[go], at[go]
         return good[inverse.reshape(-1)]
+
+
+class HashTable:
+    """int64 keys to int32 values in open slots, looked up many at a time."""
+
+    def __init__(self, bits: int):
+        self._shift = np.uint64(64 - bits)
+        self._mask = (1 << bits) - 1
+        self._keys = np.full(1 << bits, -1, np.int64)
+        self._values = np.zeros(1 << bits, np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * _SPREAD) >> self._shift).astype(np.int64)
+
+    def fill(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Store distinct keys for good; there must be more slots than keys."""
+        slots = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self._keys[slots] == -1)
+            # Of several keys for one free slot the first gets it.
+            mine = free[np.unique(slots[free], return_index=True)[1]]
+            self._keys[slots[mine]], self._values[slots[mine]] = keys[mine], values[mine]
+            rest = np.ones(len(keys), bool)
+            rest[mine] = False
+            keys, values, slots = keys[rest], values[rest], (slots[rest] + 1) & self._mask
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Values; -1 for keys that were not stored."""
+        slots = self._slots(keys)
+        held = self._keys[slots]
+        out = np.where(held == keys, self._values[slots], np.int32(-1))
+        open_ = np.flatnonzero((held != keys) & (held != -1))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & self._mask
+            held = self._keys[slots[open_]]
+            hit = held == keys[open_]
+            out[open_[hit]] = self._values[slots[open_[hit]]]
+            open_ = open_[~hit & (held != -1)]
+        return out
+
+    def recall(self, keys: np.ndarray) -> np.ndarray:
+        """As :meth:`find` after :meth:`remember`: a later key may have taken the slot."""
+        slots = self._slots(keys)
+        return np.where(self._keys[slots] == keys, self._values[slots], np.int32(-1))
+
+    def remember(self, keys: np.ndarray, values: np.ndarray) -> None:
+        slots = self._slots(keys)
+        # Slots first, so that equal slots keep one key with its own value.
+        slots, at = np.unique(slots, return_index=True)
+        self._keys[slots], self._values[slots] = keys[at], values[at]
+
+
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Relaxation:
+    """Left-to-right pass over the edges of many short texts at once.
+
+    Texts lie in one row of slots, one for each end of a prefix.  An edge is a token between two
+    slots.  It is relaxed if its border with the last token before it holds; exactly one edge
+    into each slot is.
+    """
+
+    def __init__(self, borders: Borders, bits: int = 21):
+        self._borders = borders
+        self._known = HashTable(bits)
+
+    def _hold(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        code = a.astype(np.int64) * len(self._borders.rank) + b
+        known = self._known.recall(code)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            found = self._borders.hold(a[new], b[new]).astype(np.int32)
+            known[new] = found
+            self._known.remember(code[new], found)
+        return known > 0
+
+    def run(self, source: np.ndarray, target: np.ndarray, token: np.ndarray, depth: np.ndarray, slots: int):
+        """Per slot the last token, the number of tokens and the slot before; ``depth`` is an
+        edge's distance from the start of its text."""
+        last = np.full(slots, -1, np.int32)
+        count, back = np.zeros(slots, np.int32), np.zeros(slots, np.int32)
+        if not len(depth):
+            return last, count, back
+        deepest = int(depth.max())
+        order = np.argsort(depth.astype(np.uint16 if deepest < 1 << 16 else np.int64), kind="stable")
+        bounds = np.r_[0, np.cumsum(np.bincount(depth))]
+        source, target, token = source[order], target[order], token[order]
+        for d in range(deepest + 1):
+            part = slice(bounds[d], bounds[d + 1])
+            u, v, t = source[part], target[part], token[part]
+            if d:
+                before = last[u]
+                good = np.flatnonzero(before >= 0)
+                good = good[self._hold(before[good], t[good])]
+                u, v, t = u[good], v[good], t[good]
+            last[v], count[v], back[v] = t, count[u] + 1, u
+        return last, count, back
