@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, bradley_terry, cross_parse, cube_mix, fm_dedup, line_rules, ngram_join, prefix_tokens
+from . import backoff_lm, bradley_terry, cross_parse, cube_mix, fm_dedup, itq_neardup, line_rules, ngram_join, piece_codec, prefix_tokens
 from .common import held_out
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -33,6 +33,10 @@ def op1_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bradley_terry.score(docs, ranker).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+def op2_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.summarise(table(spark, sf_dir, "documents"), vocabulary(PIECE_MODEL))
+
+
 def op3_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return backoff_lm.score(docs, held_out(F.col("doc_id"), 10, 0))
@@ -53,6 +57,10 @@ def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_iterative_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_neardup.link_classes(table(spark, sf_dir, "embeddings"))
+
+
 def op8_cube_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube_mix.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -73,10 +81,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bradley_terry,
+        op2_suffix_pieces,
         op3_backoff_automaton,
         op4_line_frequency,
         op5_ngram_join,
         op6_fm_index,
+        op7_iterative_quantisation,
         op8_cube_sampling,
         op9_prefix_tokens,
         op10_cross_parsing,
