@@ -6,7 +6,7 @@ above is shared again.  A source that is to give ``f`` times its words repeats e
 probabilities are balanced on two totals, documents and words: the flight moves them along the
 null-space of the constraints until at most two per group of documents are still fractional.
 Groups of bounded size run side by side; their few open documents meet in further rounds until
-one small group per source is left, and the landing decides those.
+one small group per source is left; the landing tries all choices for its last few documents.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from .common import batches, binary_list, materialise, pick
 GROUP = 4000
 #: The most sources a mix may have: one short row of each is planned on the driver.
 MAX_SOURCES = 100_000
+#: Documents of a source that stay open for the landing, besides the two the flight leaves.
+LANDING = 10
 _EPS = 1e-9
 
 
@@ -87,16 +89,20 @@ def landing(prob: np.ndarray, size: np.ndarray) -> np.ndarray:
     out = np.round(prob)
     if len(open_):
         choices = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
-        miss = np.abs((choices - prob[open_]) @ size[open_].astype(float))
-        out[open_] = choices[int(miss.argmin())]
+        words = np.abs((choices - prob[open_]) @ size[open_].astype(float))
+        docs = np.abs((choices - prob[open_]).sum(1))
+        out[open_] = choices[np.lexsort((docs, np.round(words, 6)))[0]]
     return out
 
 
 def _fly(last: bool, key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     group = group.drop(columns="part").sort_values(["order", "size"], kind="stable")
-    seed = [int(group["order"].iloc[0]) & 0xFFFFFFFF, len(group)]
+    coins = np.random.default_rng([int(group["order"].iloc[0]) & 0xFFFFFFFF, len(group)])
     size = group["size"].to_numpy(np.int64)
-    prob = flight(group["prob"].to_numpy(float), size, np.random.default_rng(seed))
+    prob = group["prob"].to_numpy(float)
+    flying = len(prob) - LANDING if last else len(prob)
+    if flying > 0:
+        prob = np.concatenate([flight(prob[:flying], size[:flying], coins), prob[flying:]])
     if last:
         prob = landing(prob, size)
     return group.assign(prob=prob)

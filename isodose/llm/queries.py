@@ -93,10 +93,107 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-_LINES = """
-words as (
-    select doc_id, text, source, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), x -> x <> '') as w
-    from documents
-)"""
-
-ORACLES: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Smallest id reachable over ``links`` (a, b) among ``nodes`` (id); a small table is assumed.
+_REACH = """
+both_ways as (select a, b from links union select b, a from links),
+reach(id, other) as (
+    select id, id from nodes
+    union
+    select reach.id, both_ways.b from reach join both_ways on reach.other = both_ways.a
+),
+least as (select id, min(other) as component_id from reach group by id)"""
+
+ORACLES: dict[str, str] = {
+    "op4_line_frequency": f"""
+with docs as (
+    select row_number() over () as rid, doc_id, coalesce(text, '') as text, coalesce(source, chr(1)) as site from documents
+),
+words as (select rid, unnest(regexp_extract_all(text, '{_WORD}')) as word, generate_subscripts(regexp_extract_all(text, '{_WORD}'), 1) as place from docs),
+sizes as (select rid, count(*) as n_words, sum(length(word)) as word_chars from words group by rid),
+windows as (
+    select rid, place, word, lead(word) over w as second, lead(word, 2) over w as third
+    from words window w as (partition by rid order by place)
+),
+twice as (
+    select rid, unnest(list(place)) as place from windows where third is not null
+    group by rid, word, second, third having count(*) > 1
+),
+covered as (
+    select rid, count(distinct place + step) as n_repeat_words from twice, (values (0), (1), (2)) steps(step) group by rid
+),
+lines as (
+    select rid, site, line, norm from (
+        select rid, site, line, regexp_extract_all(translate(line, '{_UPPER}', '{_LOWER}'), '{_WORD}') as norm
+        from (select rid, site, unnest(string_split(text, chr(10))) as line from docs)
+    ) where len(norm) > 0
+),
+line_counts as (select rid, count(*) - count(distinct line) as n_dup_lines, min(md5(array_to_string(norm[1:5], ' '))) as mark from lines group by rid),
+site_docs as (select site, count(distinct mark) as n from lines join line_counts using (rid) group by site),
+common as (
+    select site, norm from (
+        select site, norm, count(distinct mark) as holders from lines join line_counts using (rid) group by site, norm
+    ) join site_docs using (site) where holders > {line_rules.MAX_DOCS} and holders > {line_rules.MAX_SHARE} * n
+),
+lost as (select rid, sum(len(norm)) as n_removed from lines join common using (site, norm) group by rid),
+judged as (
+    select doc_id, coalesce(n_words, 0) as n_words, coalesce(word_chars, 0) as word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+        coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_removed, 0) as n_removed
+    from docs left join sizes using (rid) left join covered using (rid) left join line_counts using (rid) left join lost using (rid)
+)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+    cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words,
+    n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and n_removed <= {1 - line_rules.MIN_LEFT} * n_words as kept
+from judged""",
+    "op5_ngram_join": f"""
+with recursive docs as (
+    select doc_id as id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') as words from documents
+),
+nodes as (select id from docs),
+shingles as (
+    select distinct id, array_to_string(words[place:place + 2], ' ') as shingle
+    from (select id, words, unnest(generate_series(1, greatest(len(words) - 2, 1))) as place from docs where len(words) > 0)
+),
+sizes as (select id, count(*) as n from shingles group by id),
+shared as (
+    select x.id as a, y.id as b, count(*) as common from shingles x join shingles y on x.shingle = y.shingle and x.id < y.id group by 1, 2
+),
+links as (
+    select a, b from shared join sizes p on p.id = a join sizes q on q.id = b where 100 * common >= 90 * (p.n + q.n - common)
+),
+{_REACH}
+select id as doc_id, coalesce(n, 0) as n_shingles, component_id from least left join sizes using (id)""",
+    "op6_fm_index": f"""
+with docs as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as words from documents),
+starts as (select rid, words, unnest(generate_series(1, len(words) - 34)) as place from docs where len(words) >= 35),
+windows as (select rid, place, md5(array_to_string(words[place:place + 34], ' ')) as content from starts),
+repeated as (
+    select rid, unnest(list(place)) as place from windows
+    where content in (select content from windows group by content having count(*) > 1) group by rid
+),
+gone as (select distinct rid, place + step as place from repeated, (select unnest(generate_series(0, 34)) as step)),
+words as (select rid, unnest(words) as word, unnest(generate_series(1, len(words))) as place from docs where len(words) > 0),
+kept as (
+    select rid, string_agg(word, ' ' order by place) as text, count(*) as n from words anti join gone using (rid, place) group by rid
+)
+select doc_id, cast(len(words) as bigint) as n_words, cast(len(words) - coalesce(n, 0) as bigint) as n_removed,
+    sha256(coalesce(kept.text, '')) as kept_sha256
+from docs left join kept using (rid)""",
+    "op7_iterative_quantisation": f"""
+with recursive vectors as (select vec_id as id, cast(embedding as double[]) as v from embeddings),
+usable as (
+    select id, v, sqrt(list_dot_product(v, v)) as size from vectors
+    where v is not null and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and list_dot_product(v, v) > 0
+),
+nodes as (select id from vectors),
+links as (
+    select x.id as a, y.id as b from usable x join usable y on x.id < y.id and list_dot_product(x.v, y.v) / (x.size * y.size) >= 0.9
+),
+{_REACH},
+degrees as (select id, count(*) as n from (select a as id from links union all select b from links) group by id)
+select id as vec_id, coalesce(n, 0) as n_links, component_id, id = component_id as kept from least left join degrees using (id)""",
+}
