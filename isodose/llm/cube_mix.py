@@ -12,10 +12,8 @@ one small group per source is left; the landing tries all choices for its last f
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,17 +93,20 @@ def landing(prob: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fly(last: bool, key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    group = group.drop(columns="part").sort_values(["order", "size"], kind="stable")
-    coins = np.random.default_rng([int(group["order"].iloc[0]) & 0xFFFFFFFF, len(group)])
-    size = group["size"].to_numpy(np.int64)
-    prob = group["prob"].to_numpy(float)
-    flying = len(prob) - LANDING if last else len(prob)
-    if flying > 0:
-        prob = np.concatenate([flight(prob[:flying], size[:flying], coins), prob[flying:]])
-    if last:
-        prob = landing(prob, size)
-    return group.assign(prob=prob)
+def _fly(last: bool):
+    def run(group):
+        group = group.drop(columns="part").sort_values(["order", "size"], kind="stable")
+        coins = np.random.default_rng([int(group["order"].iloc[0]) & 0xFFFFFFFF, len(group)])
+        size = group["size"].to_numpy(np.int64)
+        prob = group["prob"].to_numpy(float)
+        flying = len(prob) - LANDING if last else len(prob)
+        if flying > 0:
+            prob = np.concatenate([flight(prob[:flying], size[:flying], coins), prob[flying:]])
+        if last:
+            prob = landing(prob, size)
+        return group.assign(prob=prob)
+
+    return run
 
 
 def _sizes(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +177,7 @@ def plan(
         dealt = open_.join(F.broadcast(counts), "place").withColumn(
             "part", F.pmod(F.xxhash64("order", F.lit(int(rounds))), F.col("groups"))
         )  # counts: one row per source, at most MAX_SOURCES
-        flown = dealt.drop("groups").groupBy("place", "part").applyInPandas(partial(_fly, rounds == 1), schema)
+        flown = dealt.drop("groups").groupBy("place", "part").applyInPandas(_fly(rounds == 1), schema)
         flown = materialise(flown, "mix-flight")
         still = (F.col("prob") > _EPS) & (F.col("prob") < 1 - _EPS)
         done = flown.where(~still).select("row", F.round("prob").cast("int").alias("more"))

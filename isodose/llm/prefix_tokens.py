@@ -18,15 +18,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .bpe import Borders
+from .bpe import Borders, HashTable, Relaxation
 from .common import batches, pick
 
 #: Fixed value: how the vocabulary's byte-level pre-tokenizer cuts text.
 _PRETOKEN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-#: Pre-tokens with tables in memory; when full, the tables are forgotten and built again.
-KEPT_TABLES = 300_000
+#: Pre-tokens with counts in memory; when full, they are forgotten and found again.
+KEPT_TABLES = 400_000
+#: Documents cut and counted together.
+BATCH = 1000
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -58,6 +60,54 @@ class PrefixCounter:
         added = [t["content"] for t in spec["added_tokens"]]
         self._added = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
         self._counts: dict[str, int] = {}
+        self._relaxation = Relaxation(self._borders)
+        self._grow_tree()
+
+    def _grow_tree(self) -> None:
+        """All prefixes of tokens as a tree: (node, byte) to node, and each node's token."""
+        node_of, tokens = {b"": 0}, [-1]
+        keys, nodes = [], []
+        for text, token in sorted(self._token.items()):
+            for end in range(1, len(text) + 1):
+                if text[:end] not in node_of:
+                    keys.append(node_of[text[: end - 1]] << 8 | text[end - 1])
+                    node_of[text[:end]] = len(tokens)
+                    nodes.append(len(tokens))
+                    tokens.append(-1)
+            tokens[node_of[text]] = token
+        self._tree = HashTable(max(4, len(keys).bit_length() + 3))
+        self._tree.fill(np.array(keys, np.int64), np.array(nodes, np.int32))
+        self._token_of = np.array(tokens, np.int32)
+
+    def learn(self, pieces: list[str]) -> None:
+        """Tables for many distinct pre-tokens at once; their counts are kept."""
+        raw = [p.encode() for p in pieces]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        # One slot per prefix end; the slot after a piece's last byte ends its row.
+        ends = np.cumsum(lengths + 1) - 1
+        letters = np.frombuffer(b"\0".join(raw) + b"\0", np.uint8).astype(np.int64)
+        inside = np.ones(len(letters), bool)
+        inside[ends] = False
+        first = np.repeat(ends - lengths, lengths + 1)
+        start = np.flatnonzero(inside)
+        at, node = start.copy(), np.zeros(len(start), np.int32)
+        sources, targets, tokens = [], [], []
+        while len(at):
+            node = self._tree.find(node.astype(np.int64) << 8 | letters[at])
+            on = node >= 0
+            start, at, node = start[on], at[on] + 1, node[on]
+            token = self._token_of[node]
+            whole = token >= 0
+            sources.append(start[whole])
+            targets.append(at[whole])
+            tokens.append(token[whole])
+            more = inside[at]
+            start, at, node = start[more], at[more], node[more]
+        source = np.concatenate(sources)
+        _, count, _ = self._relaxation.run(
+            source, np.concatenate(targets), np.concatenate(tokens), source - first[source], len(letters)
+        )
+        self._counts.update(zip(pieces, count[ends].tolist(), strict=True))
 
     def table(self, piece: bytes) -> list[int]:
         """Tokens of every prefix of one pre-token; item i is for its first i bytes."""
@@ -83,13 +133,7 @@ class PrefixCounter:
 
     def _count(self, piece: str) -> int:
         known = self._counts.get(piece)
-        if known is None:
-            if len(self._counts) >= KEPT_TABLES:
-                self._counts.clear()
-            known = self.table(piece.encode())[-1]
-            if len(piece) <= 64:
-                self._counts[piece] = known
-        return known
+        return self.table(piece.encode())[-1] if known is None else known
 
     def pieces(self, text: str) -> list[str | None]:
         """Pre-tokens of a text; None stands for an added token."""
@@ -102,15 +146,18 @@ class PrefixCounter:
             at = found.end()
         return out + _PRETOKEN.findall(text[at:])
 
-    def count(self, text: str) -> int:
-        known, total = self._counts, 0
-        for piece in self.pieces(text):
-            if piece is None:
-                total += 1
-            else:
-                n = known.get(piece)
-                total += self._count(piece) if n is None else n
-        return total
+    def counts(self, texts: list[str | None]) -> list[int]:
+        """Tokens of each text; tables of new pre-tokens are made together."""
+        cut = [self.pieces(t) if t else [] for t in texts]
+        if len(self._counts) > KEPT_TABLES:
+            self._counts.clear()
+        new = set().union(*cut)
+        new.discard(None)
+        new.difference_update(self._counts)
+        if new:
+            self.learn(list(new))
+        known = self._counts.__getitem__
+        return [sum(map(known, c)) if None not in c else sum(1 if p is None else known(p) for p in c) for c in cut]
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Item i: tokens of the first i bytes as the whole text's cut leaves them.
@@ -156,9 +203,9 @@ def counter(path: str) -> PrefixCounter:
 
 def _count_batches(path: str, budget: int, frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tables = counter(path)
-    for frame in batches(frames, 2000):
+    for frame in batches(frames, BATCH):
         texts = frame.column(1).to_pylist()
-        counts = [tables.count(t) if t else 0 for t in texts]
+        counts = tables.counts(texts)
         sizes = [len(t.encode()) if t else 0 for t in texts]
         fits = [s if n <= budget else tables.fit(t, budget) for t, n, s in zip(texts, counts, sizes, strict=True)]
         yield pa.record_batch(

@@ -9,7 +9,7 @@ import pytest
 from conftest import edited, words
 from test_corpus import brute_join, brute_passages, brute_rules
 
-from isodose.llm import line_rules
+from isodose.llm import cube_mix, line_rules
 from isodose.llm.common import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -60,8 +60,14 @@ def test_stages(spark, make_docs, corpus, tmp_path):
         elif place == 3:
             times = Counter(after)
             assert set(times) <= set(before) and max(times.values()) <= 2
-            size = sum(len(t.split()) for _, t, *_ in before)
-            assert sum(len(t.split()) for _, t, *_ in after) == pytest.approx(1.5 * size, rel=0.02)
+            sizes, taken, docs_of = Counter(), Counter(), Counter(r[3] for r in before)
+            for rows, sums in ((before, sizes), (after, taken)):
+                for _, text, _, source, _ in rows:
+                    sums[source] += len(text.split())
+            order = sorted(docs_of, key=lambda s: (s is None, s or ""))
+            weights = [(5.0, 2.0, 1.0)[i % 3] for i in range(len(order))]
+            wanted = dict(zip(order, cube_mix.targets([sizes[s] for s in order], weights, 1.5, 2.0), strict=True))
+            assert all(taken[s] == pytest.approx(wanted[s], rel=0.02) for s in order if docs_of[s] > 20)
         if place < 4:
             before = after
     last = docs.collect()
