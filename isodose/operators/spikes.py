@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,7 @@ from isodose.operators.ordered import (
     fold_sorted,
     neighbour,
     slice_hot_keys,
+    summarise_slices,
 )
 
 
@@ -42,44 +44,121 @@ def ema_before(values, alpha, previous=None, average=None, restarts=None, seeds=
     return befores, averages, previous, average
 
 
-def _hot_carry(sliced: Sliced, alpha: float) -> DataFrame | None:
-    """Previous value and average at the start of each hot slice.
+#: Rows after which two averages that started far apart have met, or all but met.
+SETTLED = 1000
+
 
-    Over a slice of n rows the average moves from ``a`` to ``(1-alpha)**n * a + b``, where
-    ``b`` depends on the slice alone.  Spark computes n and b per slice; chaining them is
-    one step per slice.
+class _Bracket:
+    """Pass 1 over a slice: where its average ends from no start, the least and the greatest start.
+
+    A step is monotone in the average, also after rounding, so any other start ends between
+    these two.  A slice of at most ``SETTLED`` rows keeps its values instead.
     """
-    if sliced.hot is None:
-        return None
-    newest_first = Window.partitionBy(*sliced.group).orderBy(*[F.desc(c) for c in sliced.order])
-    age = F.row_number().over(newest_first) - 1
-    parts = (
-        sliced.hot.select(*sliced.group, "cpm", age.alias("_age"))
-        .groupBy(*sliced.group)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.sum(F.lit(alpha) * F.pow(F.lit(1 - alpha), "_age") * F.col("cpm")).alias("_gain"),
-            F.max_by("cpm", "_age").alias("_first"),
-            F.min_by("cpm", "_age").alias("_last"),
-        )
-    )
 
-    return chain_slices(
-        sliced, parts, partial(_follow, alpha=alpha), "_previous double, _average double"
-    )
+    def __init__(self, alpha: float, bound: float):
+        self.alpha, self.stay = alpha, 1 - alpha
+        self.fresh, self.low, self.high = None, -bound, bound
+        self.values, self.last = [], None
+
+    def add(self, cpm: float) -> None:
+        gain, stay = self.alpha * cpm, self.stay
+        self.fresh = cpm if self.fresh is None else gain + stay * self.fresh
+        self.low, self.high = gain + stay * self.low, gain + stay * self.high
+        self.last = cpm
+        if self.values is not None:
+            self.values.append(cpm)
+            if len(self.values) > SETTLED:
+                self.values = None
+
+    def result(self) -> dict:
+        ends = {"_fresh": self.fresh, "_low": self.low, "_high": self.high}
+        return {"_values": self.values, "_last": self.last, **ends}
+
+
+class _Images:
+    """Pass 2 over a slice whose ends differ: where each possible start ends."""
+
+    def __init__(self, alpha: float):
+        self.alpha, self.stay = alpha, 1 - alpha
+        self.ends = None
+
+    def add(self, cpm: float, starts: list[float]) -> None:
+        gain, stay = self.alpha * cpm, self.stay
+        self.ends = [gain + stay * a for a in (starts if self.ends is None else self.ends)]
+
+    def result(self) -> dict:
+        return {"_ends": self.ends}
+
+
+def _doubles(low: float, high: float) -> list[float]:
+    """All doubles from ``low`` to ``high``: a handful after ``SETTLED`` rows."""
+    out = [low]
+    while out[-1] < high:
+        out.append(math.nextafter(out[-1], math.inf))
+    return out
+
+
+def _fold(values: list[float], alpha: float, average: float | None) -> float:
+    return ema_before(values, alpha, None, average)[3]
+
+
+def _possible_starts(slices: list[dict], alpha: float) -> list[dict]:
+    """Averages that may stand at the start of each slice, null where that does not matter."""
+    out, starts = [], [None]
+    for row in slices:
+        open_ = row["_values"] is None and row["_low"] < row["_high"] and starts != [None]
+        out.append({"_starts": starts if open_ else None})
+        if row["_values"] is not None:
+            starts = sorted({_fold(row["_values"], alpha, a) for a in starts})
+        else:
+            starts = [row["_fresh"]] if starts == [None] else _doubles(row["_low"], row["_high"])
+    return out
 
 
 def _follow(slices: list[dict], alpha: float) -> list[dict]:
+    """Previous value and average at the start of each slice."""
     previous, average, carried = None, None, []
     for row in slices:
         carried.append({"_previous": previous, "_average": average})
-        # Starting from the first value itself leaves the average at that value.
-        before = row["_first"] if average is None else average
-        average = (1 - alpha) ** row["_n"] * before + row["_gain"]
+        if row["_values"] is not None:
+            average = _fold(row["_values"], alpha, average)
+        elif average is None:
+            average = row["_fresh"]
+        elif row["_starts"] is not None:
+            average = row["_ends"][row["_starts"].index(average)]
+        else:
+            average = row["_low"]
         previous = row["_last"]
     return carried
 
 
+def _hot_carry(sliced: Sliced, alpha: float) -> DataFrame | None:
+    """Previous value and average at the start of each hot slice, bit for bit those of one pass.
+
+    Nearly always the average at the end of a slice no longer depends on where it started.  On
+    constant readings a few neighbouring doubles remain; those are followed one by one.
+    """
+    if sliced.hot is None:
+        return None
+    bound = 2 * (sliced.hot.agg(F.max(F.abs("cpm"))).first()[0] or 1.0)
+    ends = "_values array<double>, _last double, _fresh double, _low double, _high double"
+    brackets = summarise_slices(sliced, sliced.hot, ["cpm"], partial(_Bracket, alpha, bound), ends).persist()
+    try:
+        starts = chain_slices(sliced, brackets, partial(_possible_starts, alpha=alpha), "_starts array<double>")
+        open_rows = sliced.hot.join(F.broadcast(starts.filter("_starts is not null")), sliced.group)
+        images = summarise_slices(
+            sliced, open_rows, ["cpm", "_starts"], partial(_Images, alpha), "_ends array<double>"
+        )
+        joined = brackets.join(starts, sliced.group).join(images, sliced.group, "left")
+        carry = chain_slices(
+            sliced, joined, partial(_follow, alpha=alpha), "_previous double, _average double"
+        )
+        # One short row per slice: keep the values, so nothing above runs a second time.
+        return sliced.hot.sparkSession.createDataFrame(carry.collect(), carry.schema)
+    finally:
+        brackets.unpersist()
+
+
 def with_moving_average(
     rows: DataFrame | Sliced,
     alpha: float = S.DEFAULTS.ema_alpha,

@@ -136,7 +136,7 @@ def test_moving_average_and_spikes(spark, max_rows, seed):
     for row in spikes.with_moving_average(df, order=ORDER).collect():
         previous, average = want[row.event_id]
         assert row.previous_cpm == previous
-        assert row.average_before == (None if average is None else pytest.approx(average, rel=1e-12))
+        assert row.average_before == average
     cpm = {r[0]: r[4] for r in rows}
     point = {i for i, (p, _) in want.items() if p is not None and cpm[i] / p >= 2.5}
     rolling = {i for i, (_, a) in want.items() if a is not None and cpm[i] / a >= 2.5}
@@ -148,6 +148,23 @@ def test_moving_average_and_spikes(spark, max_rows, seed):
     assert {i for i, kind in kinds.items() if kind == "rolling_average"} == rolling - point
 
 
+@pytest.mark.parametrize("size", [60, 2000])
+@pytest.mark.parametrize("kind", ["random", "constant", "two values"])
+def test_moving_average_whatever_the_slices(spark, monkeypatch, kind, size):
+    monkeypatch.setattr(ordered, "parallelism", lambda spark: 64)
+    rng = random.Random(size)
+    make = {"random": lambda: rng.uniform(1, 300), "constant": lambda: 35.0, "two values": lambda: rng.choice([0.1, 9999.9])}[kind]
+    # A varied beginning leaves different averages before the constant readings.
+    values = [rng.uniform(1, 50) for _ in range(700)] + [make() for _ in range(6300)]
+    rows = [(i, "A", START + timedelta(seconds=i), i, v, "safe") for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    sliced = ordered.slice_hot_keys(df, ["sensor_key"], ORDER, size)
+    assert sliced.hot is not None
+    got = {r.event_id: (r.previous_cpm, r.average_before) for r in spikes.with_moving_average(sliced).collect()}
+    before, averages, *_ = spikes.ema_before(values, 0.2)
+    assert got == dict(enumerate(zip(before, averages, strict=True)))
+
+
 def test_first_row_never_spikes_and_ratio_is_inclusive(spark):
     rows = [(0, "A", START, 0, 4.0, "safe"), (1, "A", START, 1, 10.0, "safe"), (2, "B", START, 2, 999.0, "high")]
     got = spikes.spikes(spark.createDataFrame(rows, COLUMNS), order=ORDER).collect()
