@@ -109,11 +109,21 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of JSON messages, through the file source."""
-    events = (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
-    return messages(as_raw(events))
+def event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The events table as a stream of JSON messages, ten days to a micro-batch.
+
+    Each part is one file written after the one before, which is the order the file source
+    takes them in.
+    """
+    rows = raw(spark, sf_dir)
+    for first, last in ((None, "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", None)):
+        part = rows if first is None else rows.where(F.col("arrival_ts") >= first)
+        part = part if last is None else part.where(F.col("arrival_ts") < last)
+        messages(part).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(messages(rows).schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def stream_threshold():
+    """A threshold that changes between micro-batches."""
+    limits = iter((50.0, 100.0, 30.0))
+    return lambda: next(limits)

@@ -2,8 +2,39 @@
 
 from __future__ import annotations
 
-from isodose import schemas as S
-from isodose.functions.geo import GEOHASH_ALPHABET
+#: Fixed values, stated here once more so that an error in the package would show.
+EARLIEST_MS = "epoch_ms(timestamp '2011-01-01')"
+LATEST_MS = "epoch_ms(timestamp '2027-01-01')"
+GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+REGIONS = """
+Fukushima Region|36.5|139.0|38.5|141.5
+East Asia|24.0|118.0|46.0|146.0
+Europe|35.0|-11.0|71.0|40.0
+North America|24.0|-125.0|50.0|-66.0
+Australia|-43.7|113.3|-10.7|153.6
+Austria|46.4|9.5|49.0|17.2
+Belgium|49.5|2.5|51.5|6.4
+Brazil|-33.8|-73.9|5.3|-34.8
+Canada|41.7|-141.0|83.1|-52.6
+China|18.2|73.5|53.6|134.8
+Czech Republic|48.6|12.1|51.1|18.9
+Denmark|54.6|8.1|57.8|15.2
+Finland|59.8|20.0|70.1|31.6
+France|41.3|-5.1|51.1|9.6
+Germany|47.3|5.9|55.1|15.0
+Japan|24.4|122.9|45.5|145.8
+South Korea|33.1|124.6|38.6|129.6
+Netherlands|50.8|3.4|53.5|7.2
+New Zealand|-46.6|166.4|-34.4|178.6
+Norway|57.9|4.6|71.2|31.1
+Poland|49.0|14.1|54.9|24.2
+Russia|41.2|19.6|81.9|180.0
+Sweden|55.3|11.1|69.1|24.2
+Switzerland|45.8|6.0|47.8|10.5
+Ukraine|44.4|22.1|52.4|40.2
+United Kingdom|49.9|-8.2|60.9|1.8
+United States|24.4|-125.0|49.4|-66.9
+"""
 
 DAY = 86_400_000
 AS_OF = "timestamp '2024-01-31'"
@@ -61,7 +92,7 @@ parsed as (
 judged as (
  select *, case
    when captured_at is null then 'no_time'
-   when captured_at < {S.EARLIEST_MS} or captured_at > {S.LATEST_MS} then 'time_out_of_range'
+   when captured_at < {EARLIEST_MS} or captured_at > {LATEST_MS} then 'time_out_of_range'
    when unit <> 'cpm' then 'wrong_unit'
    when cpm is null then 'no_value'
    when cpm <= 0 or cpm >= 10000 then 'value_out_of_range'
@@ -145,9 +176,6 @@ select epoch_us(date_trunc('{unit}', arrival_ts)) as window_start,
 from enr group by date_trunc('{unit}', arrival_ts)"""
 
 
-#: Windows that a stream with two minutes of allowed lateness has closed by its last row.
-_CLOSED = "epoch_us((select max(arrival_ts) from enr) - interval 120 seconds)"
-
 _ALERTS = f""", unsafe as (
  select *, row_number() over (partition by sensor_key order by {ARRIVAL}) as rn
  from named where level <> 'safe'),
@@ -223,9 +251,13 @@ def _between(expr: str, low, high) -> str:
     return f"{expr} between ({low!r}) and ({high!r})"
 
 
+_SENSOR_NAMES = ", points as (select distinct latitude as lat, longitude as lon from clean)" + _PLACES + _nearest("points")
+_CELL_NAMES = ", points as (select distinct cell_lat as lat, cell_lon as lon from cells)" + _PLACES + _nearest("points")
+_NAMED_TOP = _FLAT_TOP.replace("select ", "select l.city, l.country, ", 1) + """
+left join labelled l on l.lat = r.cell_lat and l.lon = r.cell_lon"""
+
 _REGIONS = ", ".join(
-    f"('{label}', {s!r}::double, {w!r}::double, {n!r}::double, {e!r}::double)"
-    for label, s, w, n, e in S.REGIONS
+    "('{}', {}::double, {}::double, {}::double, {}::double)".format(*line.split("|")) for line in REGIONS.strip().split("\n")
 )
 
 _CAP = """, firsts as (
@@ -241,8 +273,10 @@ _READING_COLUMNS = """make_timestamp(captured_at * 1000) as captured_moment, arr
  latitude, longitude, cpm, level"""
 
 ORACLES: dict[str, str] = {
-    "csv_scan": BASE + """select captured_time, uploaded_time, latitude, longitude, value, unit,
- device_id, md5, '' as loader_id from raw""",
+    "csv_scan": BASE + """, fields as (
+ select captured_time, uploaded_time, latitude, longitude, value, unit, '' as location_name, device_id, md5,
+  '' as height, '' as surface, '' as radiation, '' as loader_id from raw)
+select * from fields union all select * from fields where md5 >= '8'""",
     "newest_first_capped": BASE + """select event_id, epoch_us(arrival_ts) as uploaded_ts from raw
  order by arrival_ts desc, event_id desc limit 1000""",
     "raw_messages": BASE + """select event_id,
@@ -272,6 +306,31 @@ ORACLES: dict[str, str] = {
  union all select 'spikes', sensor_key, captured_at, level from spiky where point)
 select channel, '{"sensor_key":"' || sensor_key || '","captured_at":' || captured_at || ',"level":"' || level
  || '"}' as data from sent""",
+    "current_cells": BASE + _cells() + f"""select {_CELL_COLUMNS} from cells
+qualify row_number() over (partition by geohash order by w_end desc) = 1 and w_end > {AS_OF} - interval 300 seconds""",
+    "valid_cells": BASE + _cells() + """select epoch_us(w) as window_start, geohash, "count", level from cells
+where "count" % 3 <> 2 and geohash >= '9'""",
+    "snapshot_messages": BASE + _cells() + _RANKED + f""", newest as (
+ select * from enr qualify row_number() over (partition by sensor_key order by captured_at desc, {ARRIVAL}) = 1),
+shown as (select * from newest where arrival_ts > {AS_OF} - interval 43200 seconds),
+board as (select * from cells qualify row_number() over (partition by geohash order by w_end desc) = 1
+ and w_end > {AS_OF} - interval 300 seconds),
+sensor_parts as (
+ select cast(('0x' || substr(md5(sensor_key), 1, 8))::bigint % greatest(1, ceil((select count(*) from shown) / 5))::bigint as integer)
+  as part, sensor_key as k, '{{"sensor_key":"' || sensor_key || '","latitude":' || latitude || ',"longitude":' || longitude
+  || ',"cpm":' || cpm || ',"level":"' || level || '"}}' as item from shown),
+cell_parts as (
+ select cast(('0x' || substr(md5(geohash), 1, 8))::bigint % greatest(1, ceil((select count(*) from board) / 5))::bigint as integer)
+  as part, geohash as k, '{{"geohash":"' || geohash || '","max_cpm":' || max_cpm || ',"count":' || "count"
+  || ',"level":"' || level || '"}}' as item from board)
+select 'map' as channel, part, '{{"points":[' || string_agg(item, ',' order by k) || ']}}' as data from sensor_parts group by part
+union all
+select 'heatmap', part, '{{"cells":[' || string_agg(item, ',' order by k) || ']}}' from cell_parts group by part
+union all
+(select 'stats', 0, '{{"max_cpm":' || max_cpm || ',"active_sensors":' || active_sensors || ',"alert_count":' || alert_count
+ || ',"reading_count":' || reading_count || '}}' from ({_stats('day')}) order by window_end desc limit 1)
+union all
+(select 'top', 0, '{{"count":' || n || '}}' from top order by w_end desc limit 1)""",
     "ingest_rate": BASE + """select epoch_us(date_trunc('hour', arrival_ts)) as bucket, count(*) as rows,
  count(*) / 3600e0 as rows_per_second from raw group by date_trunc('hour', arrival_ts)""",
     "replay_schedule": BASE + f""", known as (
@@ -339,9 +398,9 @@ where cpm >= 10 and latitude between -60 and 70 and longitude between -100 and 1
 order by sensor_key limit 500""",
     "unsafe_readings": BASE + "select event_id, sensor_key, captured_at, level from enr where level <> 'safe'",
     "global_stats": BASE + _stats("hour"),
-    "merged_stats": BASE + "select * exclude (active_sensors) from (" + _stats("day") + ")",
+    "merged_stats": BASE + _stats("day"),
     "heatmap": BASE + _cells() + f"select {_CELL_COLUMNS} from cells",
-    "top_hotspots": BASE + _cells() + _RANKED + _FLAT_TOP,
+    "top_hotspots": BASE + _cells() + _CELL_NAMES + _RANKED + _NAMED_TOP,
     "timeseries": BASE + f"""select epoch_us(time_bucket(interval 2 hours, arrival_ts)) as bucket,
  {_avg()} as avg_cpm, max(cpm) as max_cpm, count(*) as reading_count
  from enr where arrival_ts > {AS_OF} - interval 24 hours group by time_bucket(interval 2 hours, arrival_ts)""",
@@ -409,13 +468,30 @@ qualify row_number() over (partition by sensor_key order by arrival_ts desc, eve
  where event_id % 17 <> 0""",
     "sensor_cap": BASE + _CAP + """select sensor_key, epoch_us(first_seen) as first_seen from firsts
  order by firsts.first_seen desc, first_event desc limit 100""",
-    "stream_clean": BASE + "select event_id, sensor_key, captured_at, cpm, level from enr",
+    "stream_clean": BASE + _SENSOR_NAMES + """
+select event_id, sensor_key, captured_at, cpm, level, l.city, l.country
+from enr join labelled l on lat = latitude and lon = longitude""",
+    "stream_levels_runtime_threshold": BASE + f"""select event_id,
+ {_level('cpm', "case when arrival_ts < timestamp '2024-01-11' then 50e0 when arrival_ts < timestamp '2024-01-21' then 100e0 else 30e0 end")}
+ as level from clean""",
     "stream_latest": BASE + _NEWEST,
-    "stream_alerts": BASE + _ALERTS + "select event_id, sensor_key, captured_at, level from alerts",
+    "stream_alerts": BASE + _ALERTS + _SENSOR_NAMES + """
+select event_id, sensor_key, captured_at, level, l.city, l.country
+from alerts join labelled l on lat = latitude and lon = longitude""",
     "stream_spikes": BASE + _EMA + _SPIKE_ROWS,
-    "stream_global_stats": BASE + "select * from (" + _stats("day") + f") where window_end <= {_CLOSED}",
-    "stream_heatmap": BASE + _cells() + f"select {_CELL_COLUMNS} from cells where epoch_us(w_end) <= {_CLOSED}",
-    "stream_top_hotspots": BASE + _cells() + _RANKED + "select * from (" + _FLAT_TOP
-    + f") where window_end <= {_CLOSED}",
+    "stream_global_stats": BASE + _stats("day"),
+    "stream_heatmap": BASE + _cells() + _CELL_NAMES + f"""
+select {_CELL_COLUMNS}, city, country from cells join labelled on lat = cell_lat and lon = cell_lon""",
+    "stream_top_hotspots": BASE + _cells() + _CELL_NAMES + _RANKED + _NAMED_TOP,
+    "stream_readings_table": BASE + _SENSOR_NAMES + """
+select epoch_us(make_timestamp(captured_at * 1000)) as captured_at, epoch_us(arrival_ts) as ingested_at, sensor_key,
+ l.city, l.country, latitude, longitude, cpm, level from enr join labelled l on lat = latitude and lon = longitude""",
+    "stream_alerts_table": BASE + _ALERTS + _SENSOR_NAMES + f""", found as (
+ select a.* exclude (city, country), l.city, l.country
+ from alerts a join labelled l on lat = latitude and lon = longitude)
+select epoch_us(make_timestamp(captured_at * 1000)) as captured_at, epoch_us(arrival_ts) as ingested_at, sensor_key, city,
+ country, latitude, longitude, cpm, level, {_ALERT_TEXT} as alert_text from found""",
+    "retention_drop": BASE + f"""select sensor_key, epoch_us(make_timestamp(captured_at * 1000)) as captured_at,
+ epoch_us(arrival_ts) as ingested_at, cpm from enr where cast(arrival_ts as date) >= cast({AS_OF} - interval 10 days as date)""",
 }
 ORACLES["raw_clean_dropped"] = BASE + ORACLES["raw_clean_dropped"]

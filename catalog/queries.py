@@ -31,7 +31,7 @@ from isodose.operators import (
 from isodose.plans import feed
 from isodose.session import scratch_path
 from isodose.sources import csv, tables
-from isodose.streaming import pipeline
+from isodose.streaming import live, pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,9 +65,10 @@ def csv_scan(spark, sf_dir):
     rows = X.raw(spark, sf_dir)
     path = scratch_path(spark, "csv")
     csv.write_csv(rows, path)
-    return csv.read_csv(spark, path).select(
-        "captured_time", "uploaded_time", "latitude", "longitude", "value", "unit", "device_id", "md5", "loader_id"
-    )
+    # The second folder has its columns in the opposite order.
+    other = scratch_path(spark, "csv")
+    csv.write_csv(csv.read_csv(spark, path).where("md5 >= '8'"), other, csv.S.RAW_FIELDS[::-1])
+    return csv.read_csv(spark, [path, other])
 
 
 @query
@@ -132,15 +133,35 @@ def feed_union(spark, sf_dir):
 @query
 def snapshot_messages(spark, sf_dir):
     rows = X.enriched(spark, sf_dir)
-    current = latest.latest_per_sensor(rows).select("sensor_key", "latitude", "longitude", "cpm", "level")
+    live_rows = filters.alive(latest.latest_per_sensor(rows), X.AS_OF, 12 * SETTINGS.sensor_ttl_seconds, "arrival_ts")
+    current = live_rows.select("sensor_key", "latitude", "longitude", "cpm", "level")
     cells = heat.heat_cells(rows, SETTINGS.window, SETTINGS.geohash_precision)
-    last = cells.join(history.last_window(cells).select("window_start"), "window_start")
+    shown = heat.current_cells(cells, X.AS_OF, SETTINGS.cell_ttl_seconds)
     return feed.snapshot(
-        current, last.drop("window_start", "window_end"),
-        stats.global_stats(rows, SETTINGS.window), heat.top_hotspots(cells, SETTINGS.top_n),
+        current, shown.select("geohash", "max_cpm", "count", "level"),
+        stats.global_stats(rows, SETTINGS.window).drop("avg_cpm"),
+        heat.top_hotspots(cells, SETTINGS.top_n).select("window_start", "window_end", "count"), part_size=5,
     )
 
 
+@query
+def current_cells(spark, sf_dir):
+    cells = heat.heat_cells(X.enriched(spark, sf_dir), SETTINGS.window, SETTINGS.geohash_precision)
+    return heat.current_cells(cells, X.AS_OF, SETTINGS.cell_ttl_seconds)
+
+
+@query
+def valid_cells(spark, sf_dir):
+    cells = heat.heat_cells(X.enriched(spark, sf_dir), SETTINGS.window, SETTINGS.geohash_precision)
+    odd = cells.withColumns(
+        {
+            "level": F.expr("case when count % 3 = 2 then 'odd' else level end"),
+            "cell_lat": F.expr("case when geohash < '9' then null else cell_lat end"),
+        }
+    )
+    return quality.split_valid(odd, quality.valid_cell())[0].select("window_start", "geohash", "count", "level")
+
+
 @query
 def ingest_rate(spark, sf_dir):
     return stats.ingest_rate(X.raw(spark, sf_dir), "1 hour")
@@ -314,7 +335,7 @@ def global_stats(spark, sf_dir):
 @query
 def merged_stats(spark, sf_dir):
     partials = stats.stats_partials(X.enriched(spark, sf_dir), "1 hour")
-    return stats.merge_stats(partials, "1 day").drop("active_sensors")
+    return stats.merge_stats(partials, "1 day")
 
 
 @query
@@ -325,7 +346,8 @@ def heatmap(spark, sf_dir):
 @query
 def top_hotspots(spark, sf_dir):
     cells = heat.heat_cells(X.enriched(spark, sf_dir), SETTINGS.window, SETTINGS.geohash_precision)
-    return heat.flat_hotspots(heat.top_hotspots(cells, SETTINGS.top_n)).drop("city", "country")
+    named = heat.with_cell_places(cells, X.places(spark, sf_dir), X.countries(spark, sf_dir))
+    return heat.flat_hotspots(heat.top_hotspots(named, SETTINGS.top_n))
 
 
 @query
@@ -473,12 +495,13 @@ def active_cells(spark, sf_dir):
 
 @query
 def evicted_cells(spark, sf_dir):
-    rows = geo.with_geohash(X.enriched(spark, sf_dir), SETTINGS.geohash_precision)
-    kept = replay.sensor_cap(rows, 60).select("sensor_key")
-    cells = heat.heat_cells(rows.drop("geohash", "cell_lat", "cell_lon"), SETTINGS.window, SETTINGS.geohash_precision)
-    gone = rows.join(kept, "sensor_key", "left_anti")
-    stay = rows.join(kept, "sensor_key", "left_semi")
-    return heat.evicted_cells(cells, gone, stay).select("window_start", "geohash", "count")
+    rows = X.enriched(spark, sf_dir)
+    kept = replay.sensor_cap(rows, 60).select("sensor_key", F.lit(True).alias("stays"))
+    spots = rows.select("sensor_key", "latitude", "longitude").distinct()
+    located = geo.with_geohash(spots, SETTINGS.geohash_precision).select("sensor_key", "geohash").distinct()
+    sensors = located.join(kept, "sensor_key", "left").select("geohash", F.coalesce("stays", F.lit(False)).alias("kept"))
+    cells = heat.heat_cells(rows, SETTINGS.window, SETTINGS.geohash_precision)
+    return heat.evicted_cells(cells, sensors).select("window_start", "geohash", "count")
 
 
 @query
@@ -508,44 +531,79 @@ def sensor_cap(spark, sf_dir):
 # ---------------------------------------------------------------- streams
 
 
-def _stream(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
-    stream = pipeline.enriched_stream(X.event_stream(spark, sf_dir), SETTINGS, ("arrival_ts", "event_id"))
-    products = pipeline.product_streams(stream, SETTINGS, latest.ARRIVAL)
-    return pipeline.settle(products[product], scratch_path(spark, f"stream-{product}"))
+def _live(spark: SparkSession, sf_dir: str, *products: str, **options) -> live.LiveTables:
+    """The live tables after all micro-batches of the events."""
+    path = scratch_path(spark, "live")
+    messages = X.event_stream(spark, sf_dir, f"{path}/messages")
+    clean = pipeline.clean_stream(messages, SETTINGS, ("arrival_ts", "event_id"))
+    options.setdefault("places", X.places(spark, sf_dir))
+    options.setdefault("countries", X.countries(spark, sf_dir))
+    out = live.LiveTables(f"{path}/tables", SETTINGS, only=products, **options)
+    live.start_live(clean, out, available_now=True).awaitTermination()
+    return out
 
 
 @query
 def stream_clean(spark, sf_dir):
-    return _stream(spark, sf_dir, "clean").select(*KEY, "cpm", "level")
+    return _live(spark, sf_dir, "clean").read(spark, "clean").select(*KEY, "cpm", "level", "city", "country")
+
+
+@query
+def stream_levels_runtime_threshold(spark, sf_dir):
+    out = _live(spark, sf_dir, "clean", threshold=X.stream_threshold(), places=None)
+    return out.read(spark, "clean").select("event_id", "level")
 
 
 @query
 def stream_latest(spark, sf_dir):
-    return _stream(spark, sf_dir, "current").select(*KEY, "cpm", "level")
+    out = _live(spark, sf_dir, "current", places=None)
+    return out.read(spark, "current").select(*KEY, "cpm", "level")
 
 
 @query
 def stream_alerts(spark, sf_dir):
-    return _stream(spark, sf_dir, "alerts").select(*KEY, "level")
+    return _live(spark, sf_dir, "alerts").read(spark, "alerts").select(*KEY, "level", "city", "country")
 
 
 @query
 def stream_spikes(spark, sf_dir):
-    return _stream(spark, sf_dir, "spikes").select(
+    return _live(spark, sf_dir, "spikes", places=None).read(spark, "spikes").select(
         *KEY, "cpm", "spike_type", "previous_cpm", "rolling_avg_cpm", "jump_ratio"
     )
 
 
 @query
 def stream_global_stats(spark, sf_dir):
-    return _stream(spark, sf_dir, "stats")
+    return _live(spark, sf_dir, "stats", places=None).read(spark, "stats")
 
 
 @query
 def stream_heatmap(spark, sf_dir):
-    return _stream(spark, sf_dir, "heatmap")
+    return _live(spark, sf_dir, "heatmap").read(spark, "heatmap")
 
 
 @query
 def stream_top_hotspots(spark, sf_dir):
-    return heat.flat_hotspots(_stream(spark, sf_dir, "top")).drop("city", "country")
+    return heat.flat_hotspots(_live(spark, sf_dir, "heatmap").read(spark, "top"))
+
+
+@query
+def stream_readings_table(spark, sf_dir):
+    path = scratch_path(spark, "stream-readings")
+    _live(spark, sf_dir, readings_path=path)
+    return tables.read_readings(spark, path).drop(tables.PARTITION)
+
+
+@query
+def stream_alerts_table(spark, sf_dir):
+    path = scratch_path(spark, "stream-alerts")
+    _live(spark, sf_dir, alerts_path=path)
+    return tables.read_alerts(spark, path).drop(tables.PARTITION)
+
+
+@query
+def retention_drop(spark, sf_dir):
+    path = scratch_path(spark, "stream-readings")
+    _live(spark, sf_dir, readings_path=path, places=None)
+    tables.drop_expired(spark, path, X.AS_OF, days=10)
+    return tables.read_readings(spark, path).select("sensor_key", "captured_at", "ingested_at", "cpm")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from isodose.functions.geo import with_geohash
 from isodose.functions.levels import level_name, level_rank
 from isodose.functions.numeric import exact_avg, round_exact
 from isodose.operators.enrich import with_place
+from isodose.operators.filters import alive
+from isodose.operators.latest import first_per_key
 from isodose.operators.stats import window_bounds
 
 WINDOW = ["window_start", "window_end"]
@@ -120,7 +124,16 @@ def active_cells(cells: DataFrame, sensors: DataFrame) -> DataFrame:
     return cells.join(hashes, "geohash", "left_semi")
 
 
-def evicted_cells(cells: DataFrame, evicted: DataFrame, surviving: DataFrame) -> DataFrame:
-    """Cells left after some sensors were evicted: a cell goes with its last sensor."""
-    lost = evicted.select("geohash").distinct().join(surviving, "geohash", "left_anti")
+def evicted_cells(cells: DataFrame, sensors: DataFrame) -> DataFrame:
+    """Cells left after some sensors were evicted: a cell goes with its last sensor.
+
+    ``sensors(geohash, kept)`` says for each sensor and cell whether the sensor stays.
+    """
+    lost = sensors.groupBy("geohash").agg(F.max("kept").alias("kept")).where("not kept")
     return cells.join(lost, "geohash", "left_anti")
+
+
+def current_cells(cells: DataFrame, as_of: datetime, ttl_seconds: float = S.DEFAULTS.cell_ttl_seconds) -> DataFrame:
+    """The last state of each cell, as long as it is younger than its time to live."""
+    newest = first_per_key(cells, ["geohash"], F.desc("window_end"))
+    return alive(newest, as_of, ttl_seconds, time_col="window_end")

@@ -104,7 +104,7 @@ def _fold(values: list[float], alpha: float, average: float | None) -> float:
 
 def _possible_starts(slices: list[dict], alpha: float) -> list[dict]:
     """Averages that may stand at the start of each slice, null where that does not matter."""
-    out, starts = [], [None]
+    out, starts = [], [slices[0]["_seed_average"]]
     for row in slices:
         open_ = row["_values"] is None and row["_low"] < row["_high"] and starts != [None]
         out.append({"_starts": starts if open_ else None})
@@ -117,7 +117,7 @@ def _possible_starts(slices: list[dict], alpha: float) -> list[dict]:
 
 def _follow(slices: list[dict], alpha: float) -> list[dict]:
     """Previous value and average at the start of each slice."""
-    previous, average, carried = None, None, []
+    previous, average, carried = slices[0]["_seed_previous"], slices[0]["_seed_average"], []
     for row in slices:
         carried.append({"_previous": previous, "_average": average})
         if row["_values"] is not None:
@@ -132,7 +132,14 @@ def _follow(slices: list[dict], alpha: float) -> list[dict]:
     return carried
 
 
-def _hot_carry(sliced: Sliced, alpha: float) -> DataFrame | None:
+def _seeds(seed: DataFrame | None, df: DataFrame) -> DataFrame:
+    """State that sensors bring along, or a table without any."""
+    if seed is None:
+        seed = df.sparkSession.createDataFrame([], "sensor_key string, previous_cpm double, average double")
+    return seed.select("sensor_key", F.col("previous_cpm").alias("_seed_previous"), F.col("average").alias("_seed_average"))
+
+
+def _hot_carry(sliced: Sliced, alpha: float, seed: DataFrame | None = None) -> DataFrame | None:
     """Previous value and average at the start of each hot slice, bit for bit those of one pass.
 
     Nearly always the average at the end of a slice no longer depends on where it started.  On
@@ -140,9 +147,13 @@ def _hot_carry(sliced: Sliced, alpha: float) -> DataFrame | None:
     """
     if sliced.hot is None:
         return None
-    bound = 2 * (sliced.hot.agg(F.max(F.abs("cpm"))).first()[0] or 1.0)
+    largest = [sliced.hot.agg(F.max(F.abs("cpm")).alias("n"))]
+    if seed is not None:
+        largest.append(seed.agg(F.max(F.abs("average")).alias("n")))
+    bound = 2 * max([row["n"] or 1.0 for df in largest for row in df.collect()])
     ends = "_values array<double>, _last double, _fresh double, _low double, _high double"
-    brackets = summarise_slices(sliced, sliced.hot, ["cpm"], partial(_Bracket, alpha, bound), ends).persist()
+    brackets = summarise_slices(sliced, sliced.hot, ["cpm"], partial(_Bracket, alpha, bound), ends)
+    brackets = brackets.join(_seeds(seed, brackets), "sensor_key", "left").persist()
     try:
         starts = chain_slices(sliced, brackets, partial(_possible_starts, alpha=alpha), "_starts array<double>")
         open_rows = sliced.hot.join(F.broadcast(starts.filter("_starts is not null")), sliced.group)
@@ -163,10 +174,19 @@ def with_moving_average(
     rows: DataFrame | Sliced,
     alpha: float = S.DEFAULTS.ema_alpha,
     order: Sequence[str] = ARRIVAL,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``previous_cpm`` and ``average_before``, both as they were before each row."""
+    """Add ``previous_cpm`` and ``average_before``, both as they were before each row.
+
+    ``seed(sensor_key, previous_cpm, average)`` is the state that sensors bring along.
+    """
     sliced = rows if isinstance(rows, Sliced) else slice_hot_keys(rows, ["sensor_key"], order)
-    carried = sliced.with_carry(_hot_carry(sliced, alpha), _previous="double", _average="double")
+    carried = sliced.with_carry(_hot_carry(sliced, alpha, seed), _previous="double", _average="double")
+    if seed is not None:
+        names = [n for n in carried.columns if n not in ("_previous", "_average")]
+        carried = carried.join(_seeds(seed, carried), "sensor_key", "left").select(
+            *names, F.coalesce("_previous", "_seed_previous").alias("_previous"), F.coalesce("_average", "_seed_average").alias("_average")
+        )
     added = [T.StructField(n, T.DoubleType()) for n in ("previous_cpm", "average_before")]
     schema = T.StructType(carried.schema.fields + added)
 
@@ -183,17 +203,19 @@ def with_moving_average(
     return folded.drop("_previous", "_average", SLICE)
 
 
+def average_after(alpha: float) -> Column:
+    """The moving average including the row itself, from :func:`with_moving_average`."""
+    average, cpm = F.col("average_before"), F.col("cpm")
+    return F.when(average.isNull(), cpm).otherwise(F.lit(alpha) * cpm + F.lit(1 - alpha) * average)
+
+
 def sensor_ema(
     rows: DataFrame | Sliced,
     alpha: float = S.DEFAULTS.ema_alpha,
     order: Sequence[str] = ARRIVAL,
 ) -> DataFrame:
     """Add ``ema``, the moving average of the sensor including the row itself."""
-    average, cpm = F.col("average_before"), F.col("cpm")
-    after = F.lit(alpha) * cpm + F.lit(1 - alpha) * average
-    return with_moving_average(rows, alpha, order).select(
-        "*", F.when(average.isNull(), cpm).otherwise(after).alias("ema")
-    )
+    return with_moving_average(rows, alpha, order).select("*", average_after(alpha).alias("ema"))
 
 
 def _jump(cpm: Column, base: Column, ratio: float) -> Column:

@@ -38,38 +38,41 @@ def global_stats(
 
 
 def stats_partials(df: DataFrame, width: str, time_col: str = "arrival_ts") -> DataFrame:
-    """Mergeable partial statistics per window; see :func:`merge_stats`.
+    """Mergeable partial statistics per window and sensor; see :func:`merge_stats`.
 
-    Distinct sensors are kept as an HLL sketch, so this is the approximate form for stats
-    that are stored per shard or per hour and merged later.
+    A row per sensor keeps the distinct count exact, and no row grows with the sensors.
     """
     return (
-        df.groupBy(F.window(time_col, width))
+        df.groupBy(F.window(time_col, width), "sensor_key")
         .agg(
             F.sum(F.col("cpm").cast("decimal(18,6)")).alias("total"),
             F.max("cpm").alias("max_cpm"),
-            F.hll_sketch_agg("sensor_key").alias("sensors"),
             F.count_if(F.col("level") != "safe").alias("alert_count"),
             F.count(F.lit(1)).alias("reading_count"),
         )
-        .select(*window_bounds(), "total", "max_cpm", "sensors", "alert_count", "reading_count")
+        .select(*window_bounds(), "sensor_key", "total", "max_cpm", "alert_count", "reading_count")
     )
 
 
 def merge_stats(partials: DataFrame, width: str) -> DataFrame:
-    """Statistics per (wider) window from partial statistics."""
+    """Statistics per (wider) window from any number of partial statistics, exact like one pass.
+
+    First per (window, sensor), so one wide window is still spread by sensor.
+    """
+    sums = [F.sum("total").alias("total"), F.max("max_cpm").alias("max_cpm")]
+    sums += [F.sum("alert_count").alias("alert_count"), F.sum("reading_count").alias("reading_count")]
+    per_sensor = partials.groupBy(F.window("window_start", width), "sensor_key").agg(*sums)
     return (
-        partials.groupBy(F.window("window_start", width))
-        .agg(
-            round_exact(
-                F.sum("total").cast("double") / F.sum("reading_count"), 2
-            ).alias("avg_cpm"),
-            round_exact(F.max("max_cpm"), 2).alias("max_cpm"),
-            F.hll_sketch_estimate(F.hll_union_agg("sensors")).alias("active_sensors"),
-            F.sum("alert_count").alias("alert_count"),
-            F.sum("reading_count").alias("reading_count"),
+        per_sensor.groupBy("window")
+        .agg(*sums, F.count("sensor_key").alias("active_sensors"))
+        .select(
+            *window_bounds(),
+            round_exact(F.col("total").cast("double") / F.col("reading_count"), 2).alias("avg_cpm"),
+            round_exact(F.greatest("max_cpm", F.lit(0.0)), 2).alias("max_cpm"),
+            "active_sensors",
+            "alert_count",
+            "reading_count",
         )
-        .select(*window_bounds(), "avg_cpm", "max_cpm", "active_sensors", "alert_count", "reading_count")
     )
 
 

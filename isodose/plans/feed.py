@@ -41,13 +41,16 @@ def snapshot(
 
     Sensors and cells are packed into messages of about ``part_size`` rows each (``part``
     numbers them), so no message grows with the number of sensors.  Together the parts of a
-    channel are the whole state.
+    channel are the whole state.  The part of a row follows from its key, and rows are sorted
+    within a part, so equal states give equal messages.
     """
 
     def packed(df: DataFrame, channel: str, field: str, key: str) -> DataFrame:
         parts = F.greatest(F.lit(1), F.ceil(F.lit(df.count() / part_size))).cast("int")
-        grouped = df.groupBy(F.pmod(F.xxhash64(key), parts).cast("int").alias("part")).agg(
-            F.collect_list(F.struct(*df.columns)).alias(field)
+        number = F.conv(F.substring(F.md5(F.col(key)), 1, 8), 16, 10).cast("long")
+        rows = F.struct(key, *[name for name in df.columns if name != key])
+        grouped = df.groupBy(F.pmod(number, parts).cast("int").alias("part")).agg(
+            F.sort_array(F.collect_list(rows)).alias(field)
         )
         return grouped.select(
             F.lit(channel).alias("channel"), "part", F.to_json(F.struct(field)).alias("data")

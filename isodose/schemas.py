@@ -94,27 +94,6 @@ def _fields(spec: str) -> T.StructType:
 
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in RAW_FIELDS])
 
-PARSED = _fields(
-    "captured_at long, uploaded_at string, latitude double, longitude double, "
-    "cpm double, unit string"
-)
-ENRICHED = _fields(
-    "captured_at long, uploaded_at string, latitude double, longitude double, "
-    "cpm double, level string, sensor_key string, city string, country string"
-)
-SPIKE_FIELDS = _fields(
-    "spike_type string, previous_cpm double, rolling_avg_cpm double, jump_ratio double"
-)
-SPIKE = T.StructType(ENRICHED.fields + SPIKE_FIELDS.fields)
-STATS = _fields("avg_cpm double, max_cpm double, active_sensors long, alert_count long")
-CELL = _fields(
-    "geohash string, city string, country string, cell_lat double, cell_lon double, "
-    "avg_cpm double, max_cpm double, count long, level string"
-)
-HOTSPOT = _fields(
-    "rank int, geohash string, city string, country string, lat double, lon double, "
-    "max_cpm double, avg_cpm double, level string, count long"
-)
 READINGS = _fields(
     "captured_at timestamp, ingested_at timestamp, sensor_key string, city string, "
     "country string, latitude double, longitude double, cpm double, level string"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,35 +24,62 @@ _OPTIONS = {"header": "true", "mode": "PERMISSIVE", "encoding": "UTF-8", **_TEXT
 
 
 def _named(df: DataFrame) -> DataFrame:
-    """Raw field names instead of headers; what a short row lacks is empty text."""
-    return df.select(
-        *[F.coalesce(F.col(f"`{header}`"), F.lit("")).alias(name) for name, header in S.RAW_HEADERS.items()]
-    )
+    """Raw field names instead of headers; what a short row or a header lacks is empty text."""
+    there = {column.strip().lower(): column for column in df.columns}
+
+    def field(header: str) -> Column:
+        column = there.get(header.lower())
+        return F.lit("") if column is None else F.coalesce(F.col(f"`{column}`"), F.lit(""))
+
+    return df.select(*[field(header).alias(name) for name, header in S.RAW_HEADERS.items()])
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files of a path by their header line; of each file only the first line is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found: dict[str, list[str]] = {}
+    for name in sorted(spark.read.text(path).inputFiles()):
+        place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = place.getFileSystem(conf).open(place)
+        codec = codecs.getCodec(place)
+        lines = jvm.java.io.BufferedReader(
+            jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+        )
+        found.setdefault(lines.readLine() or "", []).append(name)
+        lines.close()
+    return found
 
 
 def read_csv(spark: SparkSession, path: str, max_rows: int = 0) -> DataFrame:
     """The thirteen raw text fields of one or many CSV files.
 
-    Columns are taken in file order of the standard header.  Undecodable bytes become
-    replacement characters, blank lines are skipped; ``max_rows`` > 0 is the ingest cap.
+    Columns are found by the header of each file, in any order; headers that are not known are
+    left out, missing ones are empty.  Undecodable bytes become replacement characters, blank
+    lines are skipped; ``max_rows`` > 0 is the ingest cap.
     """
-    raw = _named(spark.read.schema(_HEADER_SCHEMA).options(**_OPTIONS).csv(path))
+    parts = [
+        _named(spark.read.options(**_OPTIONS).csv(files)) for _, files in sorted(_headers(spark, path).items())
+    ]
+    raw = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], S.RAW)
     return raw.limit(max_rows) if max_rows > 0 else raw
 
 
-def write_csv(raw: DataFrame, path: str) -> None:
-    """Raw text fields as CSV files with the standard header; absent fields stay empty."""
+def write_csv(raw: DataFrame, path: str, fields: Sequence[str] = S.RAW_FIELDS) -> None:
+    """Raw text fields as CSV files under the standard headers; absent fields stay empty."""
     present = set(raw.columns)
-    fields = [
-        (F.coalesce(F.col(name), F.lit("")) if name in present else F.lit("")).alias(header)
-        for name, header in S.RAW_HEADERS.items()
+    columns = [
+        (F.coalesce(F.col(name), F.lit("")) if name in present else F.lit("")).alias(S.RAW_HEADERS[name]) for name in fields
     ]
-    raw.select(*fields).write.options(header="true", emptyValue="", **_TEXT).csv(path)
+    raw.select(*columns).write.options(header="true", emptyValue="", **_TEXT).csv(path)
 
 
 def stream_csv(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """CSV files as they appear in a folder; ``max_files`` per trigger limits the rate."""
-    reader = spark.readStream.schema(_HEADER_SCHEMA).options(**_OPTIONS)
+    """CSV files as they appear in a folder; ``max_files`` per trigger limits the rate.
+
+    A stream has one schema: a file with another header than the standard one is an error.
+    """
+    reader = spark.readStream.schema(_HEADER_SCHEMA).options(enforceSchema="false", **_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _named(reader.csv(path))

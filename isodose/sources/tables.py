@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isodose import schemas as S
 from isodose.functions.parse import from_epoch_ms
@@ -38,40 +39,60 @@ def as_alerts(alerts: DataFrame, ingested: Column | str = "arrival_ts") -> DataF
     return rows.withColumn("alert_text", alert_text(F.col("level"), name))
 
 
-def append(rows: DataFrame, path: str, files_per_date: int = 8) -> None:
-    """Append rows to a history table.
+#: Folder level below the date: the micro-batch that wrote the rows, -1 for bulk loads.
+BATCH = "batch_id"
+BULK = -1
 
-    Rows are spread over a few files per date by a hash of the sensor, so a date (or a
-    sensor) with most of the rows does not end in one task, and sorted by sensor, so that
-    Parquet statistics let single-sensor queries skip row groups.
+
+def _dated(rows: DataFrame, batch_id: int) -> DataFrame:
+    """Rows with their folders, in evenly sized pieces sorted by sensor.
+
+    The rebalance hint lets adaptive execution split a date that holds most of the rows, and
+    the order lets Parquet statistics skip row groups in single-sensor queries.
     """
-    dated = rows.withColumn(PARTITION, F.to_date("ingested_at"))
-    spread = F.pmod(F.xxhash64("sensor_key", "ingested_at", "captured_at"), F.lit(files_per_date))
-    (
-        dated.repartition(F.col(PARTITION), spread)
-        .sortWithinPartitions(PARTITION, "sensor_key", "ingested_at")
-        .write.mode("append")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
+    dated = rows.withColumns({PARTITION: F.to_date("ingested_at"), BATCH: F.lit(batch_id)})
+    return dated.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION, "sensor_key", "ingested_at")
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Append rows to a history table."""
+    _dated(rows, BULK).write.mode("append").partitionBy(PARTITION, BATCH).parquet(path)
 
 
 def overwrite_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Idempotent append of one micro-batch: a repeated batch replaces its own folder."""
-    dated = rows.withColumn(PARTITION, F.to_date("ingested_at"))
-    dated.write.mode("overwrite").partitionBy(PARTITION).parquet(f"{path}/batch_id={batch_id}")
+    """Idempotent append of one micro-batch: a repeated batch replaces its own folders."""
+    writer = _dated(rows, batch_id).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(PARTITION, BATCH).parquet(path)
+
+
+def compact(spark: SparkSession, path: str, day: str) -> None:
+    """Rewrite a closed date as one bulk part, without a folder per micro-batch.
+
+    The new part is written first; until the old folders are gone a reader may see rows twice,
+    so run it on dates that nothing reads at the moment.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION}={day}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [status.getPath() for status in files.listStatus(folder)]
+    part = jvm.org.apache.hadoop.fs.Path(folder, "_compacting")
+    rows = spark.read.parquet(str(folder)).drop(BATCH)
+    rows.hint("rebalance").sortWithinPartitions("sensor_key", "ingested_at").write.mode("overwrite").parquet(str(part))
+    for place in old:
+        files.delete(place, True)
+    files.rename(part, jvm.org.apache.hadoop.fs.Path(folder, f"{BATCH}={BULK}"))
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_with_date(S.READINGS)).parquet(path)
+    return spark.read.schema(_with_date(S.READINGS)).parquet(path).drop(BATCH)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_with_date(S.ALERTS)).parquet(path)
+    return spark.read.schema(_with_date(S.ALERTS)).parquet(path).drop(BATCH)
 
 
 def _with_date(schema):
-    return type(schema)([*schema.fields]).add(PARTITION, "date")
+    return type(schema)([*schema.fields]).add(PARTITION, "date").add(BATCH, T.IntegerType())
 
 
 def prune_since(df: DataFrame, as_of: datetime, hours: float) -> DataFrame:

@@ -1,56 +1,53 @@
-"""Wiring of the streaming dataflow: source, products, sinks, history."""
+"""Stateless steps of a stream, and products as queries of their own.
 
-from __future__ import annotations
+The window products here keep state for a limited time: rows behind the watermark are dropped
+and counted in the query progress.  :mod:`isodose.streaming.live` counts every row.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from isodose.functions.parse import parse_json
 from isodose.operators.enrich import enrich
-from isodose.operators.latest import first_per_key
 from isodose.operators.quality import clean_readings
 from isodose.schemas import DEFAULTS, Settings
 from isodose.session import STATE_STORE
-from isodose.sources import tables
-from isodose.streaming import stateful, windows
+from isodose.streaming import windows
 
 SHARED_CLOCK = ("arrival_ts",)
 
 
-def enriched_stream(
+def clean_stream(
     messages: DataFrame,
     settings: Settings = DEFAULTS,
     keep: tuple[str, ...] = SHARED_CLOCK,
     value: str = "value",
 ) -> DataFrame:
-    """Parse, clean and enrich JSON messages (``value``); all of it stateless."""
+    """Parse and clean JSON messages (``value``): the input of :mod:`isodose.streaming.live`."""
     parsed = parse_json(messages, value, keep)
-    clean = clean_readings(parsed, settings.earliest_ms, settings.latest_ms)
-    return enrich(clean, settings.threshold)
+    return clean_readings(parsed, settings.earliest_ms, settings.latest_ms)
 
 
-def product_streams(
-    enriched: DataFrame,
+def enriched_stream(
+    messages: DataFrame,
     settings: Settings = DEFAULTS,
-    order: tuple[str, ...] = ("arrival_ts", "captured_at"),
-) -> dict[str, DataFrame]:
-    """The seven product streams.  Each becomes one query with its own checkpoint."""
-    timed = windows.on_clock(enriched, lateness=settings.lateness)
+    keep: tuple[str, ...] = SHARED_CLOCK,
+    value: str = "value",
+) -> DataFrame:
+    """Parse, clean and enrich JSON messages (``value``); all of it stateless."""
+    return enrich(clean_stream(messages, settings, keep, value), settings.threshold)
+
+
+def window_streams(enriched: DataFrame, settings: Settings = DEFAULTS, time_col: str = "arrival_ts") -> dict[str, DataFrame]:
+    """The three window products as queries of their own, each with its checkpoint."""
+    timed = windows.on_clock(enriched, time_col, settings.lateness)
+    width, precision = settings.window, settings.geohash_precision
     return {
-        "clean": enriched,
-        "current": stateful.latest_emissions(enriched, order),
-        "alerts": stateful.dedup_alerts(enriched, settings.cooldown_ms, order),
-        "spikes": stateful.spikes(
-            enriched, settings.jump_ratio, settings.average_ratio, settings.ema_alpha, order
-        ),
-        "stats": windows.global_stats(timed, settings.window),
-        "heatmap": windows.heat_cells(timed, settings.window, settings.geohash_precision),
-        "top": windows.top_hotspots(
-            timed, settings.top_n, settings.window, settings.geohash_precision
-        ),
+        "stats": windows.global_stats(timed, width, time_col),
+        "heatmap": windows.heat_cells(timed, width, precision, time_col),
+        "top": windows.top_hotspots(timed, settings.top_n, width, precision, time_col),
     }
 
 
@@ -75,46 +72,3 @@ def settle(stream: DataFrame, path: str) -> DataFrame:
     """Process everything the source has now, then give the result as a table."""
     start_parquet(stream, path, available_now=True).awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/data")
-
-
-def history_writer(
-    readings_path: str,
-    alerts_path: str | None = None,
-    threshold: Callable[[], float] | None = None,
-    settings: Settings = DEFAULTS,
-) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: enrich a batch of clean rows once and write all outputs.
-
-    ``threshold`` is asked at the start of every batch, so a change takes effect without a
-    restart.  A repeated batch overwrites its own folder and leaves no duplicates.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        limit = settings.threshold if threshold is None else threshold()
-        rows = enrich(batch, limit).withColumns({"city": F.lit(""), "country": F.lit("")})
-        rows = rows.persist()
-        try:
-            tables.overwrite_batch(tables.as_readings(rows), readings_path, batch_id)
-            if alerts_path:
-                unsafe = rows.filter(F.col("level") != "safe")
-                tables.overwrite_batch(tables.as_alerts(unsafe), alerts_path, batch_id)
-        finally:
-            rows.unpersist()
-
-    return write
-
-
-def start_history(
-    clean: DataFrame, checkpoint: str, available_now: bool = False, **options
-) -> StreamingQuery:
-    """Keep the history tables up to date from a stream of clean readings."""
-    writer = clean.writeStream.foreachBatch(history_writer(**options)).option(
-        "checkpointLocation", checkpoint
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def merge_current(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """Current readings after a batch of newest-reading emissions: last write per sensor wins."""
-    both = state.unionByName(batch)
-    return first_per_key(both, ["sensor_key"], F.desc("captured_at"), F.asc("arrival_ts"))

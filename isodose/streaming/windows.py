@@ -80,13 +80,14 @@ def top_hotspots(
     width: str = S.DEFAULTS.window,
     precision: int = S.DEFAULTS.geohash_precision,
     time_col: str = "arrival_ts",
-    shards: int = 32,
+    shards: int | None = None,
 ) -> DataFrame:
     """Streaming form of the per-window ranking, over the cells of the same window.
 
-    Cells are ranked in ``shards`` groups first and the group winners again, so no list
-    holds all cells of a busy window.
+    Cells are ranked in ``shards`` groups first and the group winners again.  By default there
+    are so many groups that the possible cells of a group number a few thousand.
     """
+    shards = shards or max(32, 32**precision // 4096)
     cells = _cells(timed, width, precision, time_col).select(
         F.window_time("window").alias("at"), *cell_columns()
     )

@@ -124,12 +124,12 @@ def test_latest_ties_and_stats(spark):
 
 def test_active_and_evicted_cells(spark):
     board = cells(spark, [(START, "a", 1.0, "safe"), (START, "b", 1.0, "safe"), (START, "c", 1.0, "safe")])
-    gone = spark.createDataFrame([("a",), ("b",)], "geohash string")
+    sensors = spark.createDataFrame([("a", False), ("b", False), ("b", True)], "geohash string, kept boolean")
     stay = spark.createDataFrame([("b",)], "geohash string")
     none = spark.createDataFrame([], "geohash string")
     assert {r.geohash for r in heat.active_cells(board, stay).collect()} == {"b"}
     assert heat.active_cells(board, none).count() == 3
-    assert {r.geohash for r in heat.evicted_cells(board, gone, stay).collect()} == {"b", "c"}
+    assert {r.geohash for r in heat.evicted_cells(board, sensors).collect()} == {"b", "c"}
 
 
 def test_sparkline_and_progress(spark):

@@ -3,7 +3,6 @@
 import json
 import os
 import random
-import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -13,7 +12,7 @@ from isodose.operators import alerts, heat, latest, spikes, stats
 from isodose.plans.live import enriched_readings
 from isodose.schemas import Settings
 from isodose.sources import csv, log, tables
-from isodose.streaming import pipeline, stateful, windows
+from isodose.streaming import live, pipeline, windows
 
 START = datetime(2024, 1, 1)
 SETTINGS = Settings(threshold=50.0, cooldown_ms=20_000, geohash_precision=3, top_n=3)
@@ -69,9 +68,7 @@ EXPECTED = {
     "spikes": lambda b: spikes.spikes(b, order=ORDER),
     "stats": lambda b: stats.global_stats(b, SETTINGS.window),
     "heatmap": lambda b: heat.heat_cells(b, SETTINGS.window, SETTINGS.geohash_precision),
-    "top": lambda b: heat.top_hotspots(
-        heat.heat_cells(b, SETTINGS.window, SETTINGS.geohash_precision), SETTINGS.top_n
-    ),
+    "top": lambda b: heat.top_hotspots(heat.heat_cells(b, SETTINGS.window, SETTINGS.geohash_precision), SETTINGS.top_n),
 }
 
 
@@ -79,19 +76,130 @@ def as_set(df):
     return {tuple(map(str, row)) for row in df.select(*sorted(df.columns)).collect()}
 
 
+def run_live(spark, inbox, tables_):
+    stream = pipeline.clean_stream(source(spark, inbox), SETTINGS)
+    query = live.start_live(stream, tables_, available_now=True)
+    query.awaitTermination()
+    return query
+
+
+@pytest.fixture(scope="module")
+def live_tables(spark, rows, tmp_path_factory):
+    """All products after four micro-batches in two runs; the second goes on from the first."""
+    base = tmp_path_factory.mktemp("live")
+    out = live.LiveTables(str(base / "out"), SETTINGS, order=ORDER)
+    half = len(rows) // 2
+    for part in (rows[:half], rows[half:]):
+        feed(spark, str(base / "in"), part, 2)
+        run_live(spark, str(base / "in"), out)
+    return out
+
+
 @pytest.mark.parametrize("product", EXPECTED)
-def test_stream_equals_batch(spark, tmp_path, rows, batch, product):
+def test_live_equals_batch(spark, live_tables, batch, product):
+    got, want = live_tables.read(spark, product), EXPECTED[product](batch)
+    assert want.count() > 0
+    assert as_set(got) == as_set(want)
+
+
+def test_repeated_batch_changes_nothing(spark, tmp_path, batch):
+    clean = batch.drop("level", "sensor_key")
+    limits = iter([50.0, 50.0, 10.0])
+    out = live.LiveTables(str(tmp_path / "out"), SETTINGS, threshold=lambda: next(limits), order=ORDER)
+    cut = F.lit(START + timedelta(seconds=300))
+    out.write(clean.where(F.col("arrival_ts") < cut), 0)
+    out.write(clean.where(F.col("arrival_ts") >= cut), 1)
+    before = {p: as_set(out.read(spark, p)) for p in ("alerts", "spikes", "stats")}
+    assert before["alerts"] == as_set(EXPECTED["alerts"](batch))
+    # The same batch again, under a lower threshold: its rows are replaced, not added.
+    out.write(clean.where(F.col("arrival_ts") >= cut), 1)
+    assert as_set(out.read(spark, "stats")) != before["stats"]
+    assert out.read(spark, "clean").count() == clean.count()
+    assert as_set(out.read(spark, "alerts")) != before["alerts"]
+
+
+READY = "arrival_ts timestamp, captured_at long, latitude double, longitude double, cpm double, unit string"
+
+
+def clean_rows(spark, *rows):
+    """(arrival second, capture second, value) of one sensor."""
+    data = [(START + timedelta(seconds=a), c * 1000, 10.0, 20.0, v, "cpm") for a, c, v in rows]
+    return spark.createDataFrame(data, READY)
+
+
+def test_rows_that_arrive_late_are_counted(spark, tmp_path):
+    out = live.LiveTables(str(tmp_path / "out"), SETTINGS, order=ORDER, only=("stats", "heatmap"))
+    out.write(clean_rows(spark, (600, 0, 5.0), (601, 1, 5.0)), 0)
+    out.write(clean_rows(spark, (10, 2, 5.0), (11, 3, 7.0), (602, 4, 5.0)), 1)
+    out.write(clean_rows(spark, (5000, 5, 5.0)), 2)
+    counted = {r.window_start: r.reading_count for r in out.read(spark, "stats").collect()}
+    assert counted == {START: 2, START + timedelta(seconds=600): 3, START + timedelta(seconds=4980): 1}
+    assert sum(r["count"] for r in out.read(spark, "heatmap").collect()) == 6
+
+
+def test_expired_sensor_starts_afresh(spark, tmp_path):
+    for ttl, fresh in ((3600, True), (None, False)):
+        out = live.LiveTables(str(tmp_path / f"out-{ttl}"), SETTINGS, order=ORDER, ttl_seconds=ttl)
+        out.write(clean_rows(spark, (0, 100, 60.0), (1, 101, 20.0)), 0)
+        # Captured before the first rows and at their level: only a fresh sensor reports it.
+        out.write(clean_rows(spark, (4000, 99, 60.0)), 1)
+        late = F.col("captured_at") == 99_000
+        assert (out.read(spark, "current").where(late).count() == 1) is fresh
+        assert (out.read(spark, "alerts").where(late).count() == 1) is fresh
+        assert (out.read(spark, "spikes").where(late).count() == 0) is fresh  # 60 after 20 jumps
+
+
+def test_history_tables(spark, tmp_path):
+    readings, notes = str(tmp_path / "readings"), str(tmp_path / "alerts")
+    out = live.LiveTables(str(tmp_path / "out"), SETTINGS, order=ORDER, only=(), readings_path=readings, alerts_path=notes)
+    out.write(clean_rows(spark, *((i, i, 190.0) for i in range(15))), 0)
+    out.write(clean_rows(spark, *((i + 20, i + 15, 190.0) for i in range(20)), (30 * 86_400, 40, 1.0)), 1)
+    out.write(clean_rows(spark, *((i + 20, i + 15, 190.0) for i in range(20)), (30 * 86_400, 40, 1.0)), 1)
+    stored = tables.read_readings(spark, readings)
+    assert stored.count() == 36
+    told = tables.read_alerts(spark, notes)
+    assert told.count() == 2  # one at once, one after the cool-down of 20 s
+    assert {r.alert_text for r in told.collect()} == {"Dangerous radiation detected in 10.0000, 20.0000"}
+    tables.append(stored.drop(tables.PARTITION), readings)
+    assert tables.read_readings(spark, readings).count() == 72
+    tables.compact(spark, readings, "2024-01-01")
+    assert tables.read_readings(spark, readings).count() == 72
+    dropped = tables.drop_expired(spark, readings, START + timedelta(days=20), days=10)
+    assert dropped == ["ingested_date=2024-01-01"]
+    assert tables.read_readings(spark, readings).count() == 2
+
+
+def test_names_are_looked_up_once_per_sensor(spark, tmp_path):
+    places = spark.createDataFrame([(1, "Here", "X", 10.0, 20.0), (2, "There", "Y", -10.0, 20.0)], "place_id long, city string, cc string, lat double, lon double")
+    out = live.LiveTables(str(tmp_path / "out"), SETTINGS, places=places, order=ORDER)
+    for batch_id in (0, 1):
+        out.write(clean_rows(spark, (batch_id, batch_id, 60.0 + batch_id)), batch_id)
+    assert {(r.city, r.country) for r in out.read(spark, "clean").collect()} == {("Here", "X")}
+    assert {(r.city, r.country) for r in out.read(spark, "heatmap").collect()} == {("Here", "X")}
+    assert out.read(spark, "top").first().hotspots[0].city == "Here"
+    assert spark.read.parquet(str(tmp_path / "out" / "state-places" / "batch_id=1")).count() == 1
+
+
+def test_progress(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+    feed(spark, inbox, messages(size=60), 2)
+    out = live.LiveTables(str(tmp_path / "out"), SETTINGS, order=ORDER, only=("clean",))
+    query = run_live(spark, inbox, out)
+    assert [r["rows"] for r in live.progress(query) if r["rows"]] == [30, 30]
+    assert all(r["dropped"] == 0 for r in live.progress(query))
+
+
+@pytest.mark.parametrize("product", ["stats", "heatmap", "top"])
+def test_window_queries(spark, tmp_path, rows, batch, product):
+    """With a watermark the windows that are closed come out the same."""
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
     half = len(rows) // 2
     got = None
-    # Two runs over the same checkpoint: the second continues from the state of the first.
     for part in (rows[:half], rows[half:]):
         feed(spark, inbox, part, 2)
         stream = pipeline.enriched_stream(source(spark, inbox), SETTINGS)
-        got = pipeline.settle(pipeline.product_streams(stream, SETTINGS)[product], out)
-    want = EXPECTED[product](batch)
-    if "window_end" in want.columns:
-        want = want.filter(F.col("window_end") < F.lit(START + timedelta(hours=1)))
+        got = pipeline.settle(pipeline.window_streams(stream, SETTINGS)[product], out)
+    want = EXPECTED[product](batch).filter(F.col("window_end") < F.lit(START + timedelta(hours=1)))
     assert want.count() > 0
     assert as_set(got) == as_set(want)
 
@@ -120,54 +228,6 @@ def test_capture_time_windows_drop_late_rows(spark, tmp_path):
     assert rows[START + timedelta(seconds=990)] == 2
 
 
-def test_state_expires(spark, tmp_path):
-    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
-    feed(spark, inbox, messages(size=40), 1)
-    stream = pipeline.enriched_stream(source(spark, inbox), SETTINGS)
-    # Expiry by wall clock keeps a query busy for good, so it is stopped, not awaited.
-    query = pipeline.start_parquet(stateful.latest_emissions(stream, ORDER, ttl_ms=3_600_000), out)
-    try:
-        for _ in range(120):
-            if query.lastProgress and query.lastProgress["batchId"] >= 1:
-                break
-            time.sleep(0.5)
-    finally:
-        query.stop()
-    assert spark.read.parquet(f"{out}/data").count() > 0
-
-
-def test_history_writer_is_idempotent_and_reads_threshold_per_batch(spark, tmp_path):
-    readings, notes = str(tmp_path / "readings"), str(tmp_path / "alerts")
-    limits = iter([50.0, 10.0, 10.0])
-    write = pipeline.history_writer(readings, notes, lambda: next(limits), SETTINGS)
-    df = spark.createDataFrame(messages(size=50), LINE)
-    clean = enriched_readings(df, SETTINGS, ("arrival_ts",), json="value").drop("level", "sensor_key")
-    write(clean, 0)
-    before = spark.read.parquet(notes).count()
-    write(clean, 0)
-    after = spark.read.parquet(notes)
-    assert spark.read.parquet(readings).count() == clean.count()
-    assert after.count() > before
-    assert after.filter("cpm < 10").count() == 0
-    write(clean, 1)
-    assert tables.read_readings(spark, readings).count() == 2 * clean.count()
-
-
-def test_start_history_and_current_state(spark, tmp_path):
-    inbox = str(tmp_path / "in")
-    feed(spark, inbox, messages(size=60), 2)
-    stream = pipeline.enriched_stream(source(spark, inbox), SETTINGS).drop("level", "sensor_key")
-    query = pipeline.start_history(
-        stream, str(tmp_path / "cp"), available_now=True, readings_path=str(tmp_path / "r"), settings=SETTINGS
-    )
-    query.awaitTermination()
-    stored = tables.read_readings(spark, str(tmp_path / "r"))
-    assert stored.count() > 40
-    rows = stored.select("sensor_key", F.unix_millis("captured_at").alias("captured_at"), F.col("ingested_at").alias("arrival_ts"))
-    state = pipeline.merge_current(rows.limit(0), rows)
-    assert state.count() == rows.select("sensor_key").distinct().count()
-
-
 def test_csv_stream(spark, tmp_path):
     inbox = str(tmp_path / "csv")
     rows = spark.createDataFrame([("2024-01-01 00:00:00", "1.0", "2.0", "9", "cpm")],
