@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_right
-from collections import deque
 from collections.abc import Sequence
 from functools import partial
 
@@ -72,38 +72,32 @@ class _Chains:
 
     Only a new maximum can be the first row beyond the cool-down.  The last emission before
     the slice lies at most one cool-down below the maximum of the run so far, so starts are
-    the new maxima within one cool-down of it, and the first one after that.
+    the new maxima within one cool-down of it, and the first one after that.  Maxima are
+    different whole milliseconds: their number is bounded by the rows of a slice, and that of
+    the starts also by the milliseconds of the cool-down.
     """
 
     def __init__(self, cooldown_ms: int):
         self.cooldown_ms = cooldown_ms
-        self.starts: list[int] = []
-        self.peak = None
-        self.open = True
-        #: (current end, starts that got there), ends ascending
-        self.ends: deque[tuple[int, list[int]]] = deque()
+        self.peaks = array("q")
+        self.before = self.peak = None
 
     def add(self, ts: int, level: str, before: int) -> None:
-        self.peak = before if self.peak is None else self.peak
-        if ts <= self.peak:
-            return
-        self.peak = ts
-        arrived = []
-        while self.ends and self.ends[0][0] + self.cooldown_ms < ts:
-            arrived += self.ends.popleft()[1]
-        if self.open:
-            arrived.append(len(self.starts))
-            self.starts.append(ts)
-            self.open = ts <= before + self.cooldown_ms
-        if arrived:
-            self.ends.append((ts, arrived))
+        if self.peak is None:
+            self.before = self.peak = before
+        if ts > self.peak:
+            self.peak = ts
+            self.peaks.append(ts)
 
     def result(self) -> dict:
-        ends = [0] * len(self.starts)
-        for end, starts in self.ends:
-            for start in starts:
-                ends[start] = end
-        return {"_starts": self.starts, "_ends": ends}
+        peaks = np.frombuffer(self.peaks, np.int64) if self.peaks else np.zeros(0, np.int64)
+        starts = np.searchsorted(peaks, (self.before or 0) + self.cooldown_ms, "right") + 1
+        here = np.arange(len(peaks))
+        after = np.searchsorted(peaks, peaks + self.cooldown_ms, "right")
+        end = np.where(after < len(peaks), after, here)
+        while not np.array_equal(further := end[end], end):
+            end = further
+        return {"_starts": peaks[:starts].tolist(), "_ends": peaks[end[:starts]].tolist()}
 
 
 def _follow_peaks(slices: list[dict]) -> list[dict]:

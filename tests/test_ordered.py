@@ -113,6 +113,23 @@ def test_dedup_alerts(spark, max_rows, seed, shape):
     assert {r.event_id for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("spacing", [1, 50, 700_000])
+def test_chains_of_a_dense_slice(spacing):
+    """400 000 rows of one level, with a cool-down that spans up to all of them."""
+    cooldown, before = 20_000_000, 1_000_000
+    times = [before + 1 + spacing * i for i in range(400_000)]
+    chains = alerts._Chains(cooldown)
+    for ts in times:
+        chains.add(ts, "high", before)
+    found = chains.result()
+    assert len(found["_starts"]) <= min(len(times), cooldown + 1)
+    for last in (before - cooldown // 3, before - 1, before):
+        _, want, _ = cooldown_mask(times, ["high"] * len(times), cooldown, last, "high")
+        row = {"_before": before, "_first": "high", "_end_ts": None, "_end_level": "high", **found}
+        state = [{"_before": None, "_end_ts": last, "_end_level": "high"}, row, {**row, "_starts": []}]
+        assert alerts._follow_states(state, cooldown)[2]["_ts"] == want
+
+
 def test_cooldown_edges():
     minute = 60_000
     levels = ["warning"] * 4
