@@ -11,6 +11,7 @@ from isodose.operators import alerts, enrich, heat, latest, spikes, stats
 from isodose.operators.ordered import slice_hot_keys
 from isodose.operators.quality import clean_readings
 from isodose.schemas import DEFAULTS, Settings
+from isodose.session import scratch_path
 
 
 def enriched_readings(
@@ -46,15 +47,27 @@ class Products:
     top: DataFrame
 
 
+def _once(enriched: DataFrame) -> DataFrame:
+    spark = enriched.sparkSession
+    path = scratch_path(spark, "enriched")
+    enriched.write.parquet(path)
+    return spark.read.schema(enriched.schema).parquet(path)
+
+
 def products(
     enriched: DataFrame,
     settings: Settings = DEFAULTS,
     places: DataFrame | None = None,
     countries: DataFrame | None = None,
 ) -> Products:
-    """All products of enriched readings.  Busy sensors are looked for once and shared."""
+    """All products of enriched readings.
+
+    The readings are parsed, named and written once, below the shared folder; everything else
+    reads that table.  Busy sensors are looked for once and shared.
+    """
     if places is not None:
         enriched = enrich.with_place(enriched, places, countries)
+    enriched = _once(enriched)
     sliced = slice_hot_keys(enriched, ["sensor_key"], latest.ARRIVAL)
     cells = heat.heat_cells(enriched, settings.window, settings.geohash_precision)
     if places is not None:

@@ -35,10 +35,12 @@ def stream_log(
     max_offsets: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """``topic, key, value`` (text) and ``arrival_ts`` of the records, from the earliest on.
+    """``topic, key, value`` (text), ``arrival_ts``, ``partition``, ``offset`` of the records, from the earliest on.
 
     ``arrival_ts`` is the record time; set the topic to log-append time, so that a replay
-    puts records into the same windows.  ``max_offsets`` per trigger limits the rate.
+    puts records into the same windows.  Partition and offset tell records of one moment apart:
+    keep them as the last order columns of keyed products.  ``max_offsets`` per trigger limits
+    the rate.
     """
     names = topics if isinstance(topics, str) else ",".join(topics)
     reader = (
@@ -55,6 +57,8 @@ def stream_log(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").alias("arrival_ts"),
+        "partition",
+        "offset",
     )
 
 

@@ -257,6 +257,9 @@ def test_all_products_with_places(spark):
     changes = spark.createDataFrame([(START + timedelta(seconds=20), 50.0)], "effective_at timestamp, threshold double")
     readings = live.enriched_readings(spark.createDataFrame(rows, ddl), Settings(), changes=changes)
     out = live.products(readings, Settings(), places, names)
+    # All seven read the one table that was written.
+    folders = {name.rpartition("/")[0] for df in vars(out).values() for name in df.inputFiles()}
+    assert len(folders) == 1 and "enriched" in folders.pop()
     assert out.clean.filter("city = 'Tokyo' and country = 'Japan'").count() == 40
     assert out.current.count() == 40
     assert out.stats.count() == 2 and out.heatmap.count() == 2
