@@ -55,3 +55,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def parallelism(spark: SparkSession) -> int:
     """How many tasks a shuffle of this session has."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared one that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -23,6 +23,7 @@ from isodose.functions.numeric import round_exact
 from isodose.operators import alerts, enrich, heat, latest, spikes
 from isodose.operators.stats import merge_stats, stats_partials, window_bounds
 from isodose.schemas import DEFAULTS, Settings
+from isodose.session import remove
 from isodose.sources import tables
 
 KEYED = ("current", "alerts", "spikes")
@@ -74,6 +75,7 @@ class LiveTables:
             self._store(self._cell_partials(rows), "heatmap", batch_id)
         if self.readings_path:
             tables.overwrite_batch(tables.as_readings(_with_names(rows)), self.readings_path, batch_id)
+        self._forget(rows.sparkSession, batch_id)
 
     def _store(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
         """Write a batch's part of a table; what follows reads it back."""
@@ -81,6 +83,12 @@ class LiveTables:
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Drop what no later or repeated batch reads: older state, rows before they had names."""
+        remove(spark, f"{self.path}/unnamed/batch_id={batch_id}")
+        for name in ("places", *KEYED):
+            remove(spark, f"{self.path}/state-{name}/batch_id={batch_id - 2}")
+
     def _state(self, rows: DataFrame, name: str, batch_id: int, ddl: str) -> DataFrame:
         """What sensors left behind up to the batch before; expired ones have left nothing."""
         spark = rows.sparkSession
