@@ -34,7 +34,7 @@ __all__ = [
 ]
 
 #: Raw text bytes that one block of documents holds, on average.  Bounds a Python task's memory.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 
 _UPPER_TO_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _C1 = np.uint64(0x9E3779B97F4A7C15)
@@ -70,8 +70,8 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
 
 
 def blocks_for(spark: SparkSession, volume: int, block_bytes: int = BLOCK_BYTES) -> int:
-    """How many blocks hold ``volume`` bytes; two for each shuffle task at least, for even tasks."""
-    return max(2 * parallelism(spark), -(-volume // block_bytes))
+    """How many blocks hold ``volume`` bytes; one for each shuffle task at least."""
+    return max(parallelism(spark), -(-volume // block_bytes))
 
 
 def block_of(blocks: int, *columns: str) -> Column:

@@ -31,14 +31,16 @@ def ask_and_answer(
 
     Each round's ``ask`` gives one binary per bucket, from a block's rows and, after the first
     round, the answers of the round before; ``answer`` gets the binaries of one bucket and returns
-    as many; ``finish`` gets a block's rows and the last answers, one per bucket.
+    as many; ``finish`` gets a block's rows and the last answers, one per bucket.  Empty binaries
+    are not sent and answered by empty ones, so there are no more of them than keys.
     """
 
     def asked(ask):
         def run(key, table, *answers):
             notes = ask(table, *(_by_bucket(a, buckets) for a in answers))
-            places = [pa.array(range(len(notes)), pa.int32()), pa.array([key[0].as_py()] * len(notes), pa.int32())]
-            return pa.table([*places, pa.array(notes, pa.binary())], schema=_NOTES)
+            sent = [bucket for bucket, note in enumerate(notes) if note]
+            places = [pa.array(sent, pa.int32()), pa.array([key[0].as_py()] * len(sent), pa.int32())]
+            return pa.table([*places, pa.array([notes[b] for b in sent], pa.binary())], schema=_NOTES)
 
         # Spark tells the two kinds of functions apart by their arguments.
         return (lambda key, table: run(key, table)), (lambda key, table, answers: run(key, table, answers))

@@ -221,15 +221,14 @@ def repeated_windows(index: FMIndex, symbols: np.ndarray, at: np.ndarray, length
 def _ask_anchors(block: _Block, buckets: int) -> list[bytes]:
     keys, counts = np.unique(block.anchor, return_counts=True)
     at = bucket_bounds(keys, buckets)
-    return [pack(keys[a:b], np.minimum(counts[a:b], 1 << 30).astype(np.uint32)) for a, b in zip(at, at[1:], strict=False)]
+    counts = np.minimum(counts, 1 << 30).astype(np.uint32)
+    return [pack(keys[a:b], counts[a:b]) if b > a else b"" for a, b in zip(at, at[1:], strict=False)]
 
 
 def _answer_anchors(split: int, notes: list[bytes]) -> list[bytes]:
     """0: the anchor occurs once; 1: more often; 2: so often that its segments are split."""
     opened = [unpack(n, np.uint64, np.uint32) for n in notes]
     keys = np.concatenate([k for k, _ in opened])
-    if not len(keys):
-        return [b""] * len(notes)
     _, inverse = np.unique(keys, return_inverse=True)
     total = np.bincount(inverse.reshape(-1), np.concatenate([c for _, c in opened]).astype(np.float64))
     kind = ((total > 1).astype(np.uint8) + (total > split))[inverse.reshape(-1)].astype(np.uint8)
@@ -258,6 +257,9 @@ def _segments(block: _Block, answers: list[bytes], buckets: int) -> list[bytes]:
     ends = np.r_[0, np.cumsum(per_segment)]
     out = []
     for a, b in zip(at, at[1:], strict=False):
+        if a == b:
+            out.append(b"")
+            continue
         mine = chosen[order[a:b]]
         codes = _ranges(block.codes, first[mine], words[mine])
         out.append(
@@ -280,8 +282,6 @@ def _answer_segments(length: int, notes: list[bytes]) -> list[bytes]:
     """A shard's work: for each block where its repeated words are, as start, mask pairs."""
     opened = [unpack(n, *_SEGMENT_KINDS) for n in notes]
     content = np.concatenate([o[0] for o in opened])
-    if not len(content):
-        return [b""] * len(notes)
     words = np.concatenate([o[1] for o in opened]).astype(np.int64)
     counts = np.concatenate([o[2] for o in opened]).astype(np.int64)
     codes = np.concatenate([o[4].astype(np.uint64) | o[5].astype(np.uint64) << np.uint64(32) for o in opened])
@@ -304,7 +304,7 @@ def _answer_segments(length: int, notes: list[bytes]) -> list[bytes]:
     out = []
     for o, a, b in zip(opened, sizes, sizes[1:], strict=False):
         mask = np.repeat(found[a:b], o[2])
-        out.append(pack(o[3][mask > 0], mask[mask > 0]))
+        out.append(pack(o[3][mask > 0], mask[mask > 0]) if mask.any() else b"")
     return out
 
 

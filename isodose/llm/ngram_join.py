@@ -133,13 +133,11 @@ def _index(docs: DataFrame, width: int, percent: int) -> DataFrame:
         tokens, counts = _tokens(sets, first)
         at = split(tokens)
         keys, held = (tokens >> low).astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
-        return [pack(keys[a:b], held[a:b]) for a, b in zip(at, at[1:], strict=False)]
+        return [pack(keys[a:b], held[a:b]) if b > a else b"" for a, b in zip(at, at[1:], strict=False)]
 
     def answer(notes):
         opened = [unpack(note, np.uint32, np.uint8) for note in notes]
         keys = np.concatenate([k for k, _ in opened])
-        if not len(keys):
-            return [b""] * len(notes)
         held = np.concatenate([h for _, h in opened]).astype(np.int64)
         _, inverse = np.unique(keys, return_inverse=True)
         total = np.bincount(inverse.reshape(-1), held)
