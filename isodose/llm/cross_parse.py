@@ -130,17 +130,26 @@ def fit(
 ) -> Model:
     """Labelled text per language, from a bounded sample.
 
-    Of each language the ``docs_per_language`` texts with the smallest hash give their first
+    Of each language the ``docs_per_language`` distinct texts with the smallest hash give their first
     ``chars_per_doc`` characters.  A word counts for the languages in which its share is at least
     a third of its largest share, which keeps foreign passages in labelled texts out; the words
     in most documents come first, until ``chars_per_language`` is reached.
     """
     rows = pick(labelled, text=text, lang=lang).where("text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    hashes = rows.select("lang", "hash").distinct()
+    # Only hashes below a cut can be among a large language's smallest: four times as many as are
+    # wanted, so that no task sorts a language's hashes from all over the corpus.
+    sizes = hashes.groupBy("lang").agg(F.least(F.lit(1.0), 4.0 * docs_per_language / F.count(F.lit(1))).alias("share"))
+    below = F.lit(-(2.0**63)) + F.col("share") * 2.0**64
+    near = hashes.join(sizes, "lang").where((F.col("share") >= 1) | (F.col("hash") < below))
+    order = Window.partitionBy("lang").orderBy("hash")
+    chosen = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= docs_per_language)
+    # ``docs_per_language`` short rows a language.
     sample = (
-        rows.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= docs_per_language)
-        .select("lang", F.substring("text", 1, chars_per_doc).alias("text"))
+        rows.join(F.broadcast(chosen.select("lang", "hash")), ["lang", "hash"])
+        .groupBy("lang", "hash")
+        .agg(F.min(F.substring("text", 1, chars_per_doc)).alias("text"))
         .collect()
     )
     held: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
