@@ -5,13 +5,15 @@ above is shared again.  A source that is to give ``f`` times its words repeats e
 ``floor(f)`` times and includes it once more with probability ``f - floor(f)``.  These
 probabilities are balanced on two totals, documents and words: the flight moves them along the
 null-space of the constraints until at most two per group of documents are still fractional.
-Groups of bounded size run side by side; their few open documents meet in further rounds until
-one small group per source is left; the landing tries all choices for its last few documents.
+Groups of bounded size run side by side and hold a few documents back; what is open meets in
+further rounds until one group of the source is left; its landing tries all choices for the last
+few documents.  A source lands in the round that finds it in one group, whatever the others hold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -93,13 +95,17 @@ def landing(prob: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fly(last: bool):
+def _fly(most: int):
     def run(group):
-        group = group.drop(columns="part").sort_values(["order", "size"], kind="stable")
+        groups = int(group["groups"].iloc[0])
+        last = groups == 1
+        group = group.drop(columns=["part", "groups"]).sort_values(["order", "size"], kind="stable")
         coins = np.random.default_rng([int(group["order"].iloc[0]) & 0xFFFFFFFF, len(group)])
         size = group["size"].to_numpy(np.int64)
         prob = group["prob"].to_numpy(float)
-        flying = len(prob) - LANDING if last else len(prob)
+        # An eighth of a group at most: so there are fewer groups in each round.
+        held = LANDING if last else min(-(-LANDING // groups), most // 8)
+        flying = len(prob) - held
         if flying > 0:
             prob = np.concatenate([flight(prob[:flying], size[:flying], coins), prob[flying:]])
         if last:
@@ -164,20 +170,19 @@ def plan(
     joined = sized.withColumnRenamed("source", "_source").join(table, F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
     rows = joined.withColumn("order", F.xxhash64("ident", "content", F.lit(5)))
 
-    open_ = rows.where("prob > 0").select("row", "place", "order", "size", "prob")
     decided = None
     schema = "row long, place int, order long, size long, prob double"
     open_ = rows.where("prob > 0 and size > 0").select("row", "place", "order", "size", "prob")
-    while True:
+    for turn in count():
         # Every source is cut into groups of about ``group`` documents by their own hash.
         counts = open_.groupBy("place").agg(F.ceil(F.count(F.lit(1)) / group).alias("groups"))
         rounds = counts.agg(F.max("groups").alias("n")).first()["n"]
         if not rounds:
             break
         dealt = open_.join(F.broadcast(counts), "place").withColumn(
-            "part", F.pmod(F.xxhash64("order", F.lit(int(rounds))), F.col("groups"))
+            "part", F.pmod(F.xxhash64("order", F.lit(turn)), F.col("groups"))
         )  # counts: one row per source, at most MAX_SOURCES
-        flown = dealt.drop("groups").groupBy("place", "part").applyInPandas(_fly(rounds == 1), schema)
+        flown = dealt.groupBy("place", "part").applyInPandas(_fly(group), schema)
         flown = materialise(flown, "mix-flight")
         still = (F.col("prob") > _EPS) & (F.col("prob") < 1 - _EPS)
         done = flown.where(~still).select("row", F.round("prob").cast("int").alias("more"))

@@ -396,5 +396,22 @@ def test_mix(spark, make_docs, edge_rows):
     assert Counter((r["doc_id"], r["source"]) for r in mixed.collect()) == +want_rows
 
 
+def test_mix_lands_each_source_by_itself(make_docs):
+    """A source's landing has its dozen documents, whatever the other sources hold."""
+    rng = random.Random(37)
+    rows = [(i, " ".join(words(rng, rng.randint(30, 90))), "en", s) for i, s in enumerate("s" * 40 + "m" * 100 + "l" * 400)]
+
+    def taken(sources):
+        # With so large a share every source is to give 1.5 times its words, alone or not.
+        plan = cube_mix.plan(make_docs([r for r in rows if r[3] in sources]), share=99.0, most=1.5, group=60).collect()
+        return {s: Counter({r["doc_id"]: r["taken"] for r in plan if r["source"] == s}) for s in sources}, plan
+
+    together, plan = taken("sml")
+    assert all(together[s] == taken(s)[0][s] for s in "sm")
+    for s in "sml":  # of some 4000 choices one comes within a word
+        target = next(r["target"] for r in plan if r["source"] == s)
+        assert abs(sum(together[s].values()) - target) <= 1
+
+
 def test_mix_empty(make_docs):
     assert cube_mix.plan(make_docs([])).collect() == [] and cube_mix.mix(make_docs([])).collect() == []
