@@ -82,14 +82,14 @@ class CrossParser:
         self._automata = [suffix_automaton(text) for _, text in model]
         self.bits = np.array([math.log2(len(text) + 2) for _, text in model])
         self._known: dict[str, int] = {}
-        self._columns = [array("H") for _ in model]
-        self._sizes = array("H")
+        self._columns = [array("q") for _ in model]
+        self._sizes = array("q")
 
     def _number(self, word: str) -> int:
         self._known[word] = number = len(self._sizes)
-        self._sizes.append(min(len(word), 65000) + 2)
+        self._sizes.append(len(word) + 2)
         for column, automaton in zip(self._columns, self._automata, strict=True):
-            column.append(min(count_phrases(automaton, word[:65000]), 65535))
+            column.append(count_phrases(automaton, word))
         return number
 
     def rates(self, text: str) -> np.ndarray | None:
@@ -101,13 +101,13 @@ class CrossParser:
             self.__init_memory()
         known = self._known
         ids = np.fromiter((known[w] if w in known else self._number(w) for w in words), np.int64, len(words))
-        chars = np.frombuffer(self._sizes, np.uint16)[ids].sum(dtype=np.int64)
-        totals = [np.frombuffer(c, np.uint16)[ids].sum(dtype=np.int64) for c in self._columns]
+        chars = np.frombuffer(self._sizes, np.int64)[ids].sum()
+        totals = [np.frombuffer(c, np.int64)[ids].sum() for c in self._columns]
         return np.array(totals) * self.bits / chars
 
     def __init_memory(self) -> None:
-        self._known, self._sizes = {}, array("H")
-        self._columns = [array("H") for _ in self._columns]
+        self._known, self._sizes = {}, array("q")
+        self._columns = [array("q") for _ in self._columns]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score; ``und`` and 0 without text, letters or languages."""

@@ -141,3 +141,14 @@ def test_language_edges(spark, make_docs, edge_rows):
     assert by_id[6]["lang_pred"] == "fr" and by_id[1]["lang_pred"] == "en"
     assert {r["lang_pred"] for r in cross_parse.identify(docs, ()).collect()} == {"und"}
     assert cross_parse.identify(make_docs([]), cross_parse.fit(make_docs([]), "text", "lang")).collect() == []
+
+
+def test_long_runs_are_parsed_whole():
+    """A run of letters counts with all its characters and phrases, not by its beginning."""
+    model = (("aa", "\nab\n"), ("bb", "\ncd\n"))
+    parser = cross_parse.CrossParser(model)
+    run = "ab" * 32_500 + "cd" * 100_000
+    phrases = [cross_parse.count_phrases(suffixes, run) for suffixes in parser._automata]
+    assert max(phrases) > 65_535
+    assert parser.rates(run) == pytest.approx([n * b / (len(run) + 2) for n, b in zip(phrases, parser.bits, strict=True)])
+    assert parser.predict(run)[0] == "bb" and parser.predict(run[:65_000])[0] == "aa"
