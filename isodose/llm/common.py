@@ -56,11 +56,14 @@ def held_out(ident: Column, modulus: int, value: int) -> Column:
     return remainder(ident, modulus) == value
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write below the shared folder and read back: a cut lineage that outlives executors."""
+def materialise(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write below the shared folder and read back: a cut lineage that outlives executors.
+
+    With ``by``, files hold rows of one value of these columns each.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, bradley_terry, cross_parse, cube_mix, fm_dedup, itq_neardup, line_rules, ngram_join, piece_codec, prefix_tokens
+from . import backoff_lm, bradley_terry, cross_parse, cube_mix, fill_middle, fm_dedup, itq_neardup, line_rules, lloyd_shards, multiset_hash, ngram_join, piece_codec, prefix_tokens
 from .common import held_out
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -77,6 +77,23 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_parse.identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_dimension_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lloyd_shards.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+    return out.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
+
+
+def op12_repeated_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = multiset_hash.compare_edits(table(spark, sf_dir, "documents"))
+    return out.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_cube_sampling,
         op9_prefix_tokens,
         op10_cross_parsing,
+        op11_dimension_lloyd,
+        op12_repeated_capture,
+        op13_multiset_hash,
     )
 }
 
@@ -106,6 +126,41 @@ reach(id, other) as (
 ),
 least as (select id, min(other) as component_id from reach group by id)"""
 
+def _lloyd_sql(k: int, rounds: int, scale: int, seed: int, dims: int) -> str:
+    """Lloyd's rounds written out: one pair of steps after the other."""
+    parts = [
+        f"""points as materialized (
+    select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: cast(floor({scale} * cast(x as double)) as bigint)) as v
+    from embeddings where len(embedding) = {dims} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+c0 as materialized (
+    select row_number() over (order by sha256('{seed}:' || coalesce(cast(vec_id as varchar), '')), v) - 1 as cluster, v
+    from points qualify cluster < {k}
+)"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} as materialized (
+    select rid, arg_min(cluster, (d, cluster)) as cluster, min(d) as distance from (
+        select rid, cluster, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+        from points p cross join c{i} c
+    ) group by rid
+)""")
+        if i < rounds:
+            parts.append(f"""m{i} as materialized (
+    select cluster, list(((s - ((s % n) + n) % n) // n)::bigint order by dim) as v from (
+        select cluster, dim, sum(x) as s, count(*) as n
+        from (select cluster, unnest(v) as x, unnest(generate_series(1, {dims})) as dim from points join a{i} using (rid)) group by cluster, dim
+    ) group by cluster
+),
+c{i + 1} as materialized (select cluster, coalesce(m{i}.v, c{i}.v) as v from c{i} left join m{i} using (cluster))""")
+    return f"""
+with {", ".join(parts)}
+select vec_id, cast(cluster as integer) as cluster, distance,
+    cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia, cast(sum(distance) over () as bigint) as inertia,
+    sha256(array_to_string(c{rounds}.v, ',')) as centroid_sha256
+from a{rounds} join points using (rid) join c{rounds} using (cluster)"""
+
+
 ORACLES: dict[str, str] = {
     "op4_line_frequency": f"""
 with docs as (
@@ -196,4 +251,31 @@ links as (
 {_REACH},
 degrees as (select id, count(*) as n from (select a as id from links union all select b from links) group by id)
 select id as vec_id, coalesce(n, 0) as n_links, component_id, id = component_id as kept from least left join degrees using (id)""",
+    "op11_dimension_lloyd": _lloyd_sql(40, 5, 256, 2, 64),
+    "op12_repeated_capture": r"""
+with docs as (
+    select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units
+    from documents
+),
+draws as (
+    select *, len(units) as n, ('0x' || h[1:8])::ubigint % (len(units) + 1) as a, ('0x' || h[9:16])::ubigint % (len(units) + 1) as b,
+        ('0x' || h[17:24])::ubigint % 100 as h3, ('0x' || h[25:32])::ubigint % 100 as h4
+    from docs
+),
+parts as (
+    select doc_id, text, n,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 >= 100 then 'plain'
+            when h4 < 50 then 'spm' else 'psm' end as form,
+        coalesce(array_to_string(units[1:least(a, b)], ''), '') as p,
+        coalesce(array_to_string(units[least(a, b) + 1:greatest(a, b)], ''), '') as m,
+        coalesce(array_to_string(units[greatest(a, b) + 1:n], ''), '') as s
+    from draws
+)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+    case when form <> 'plain' then length(m) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(text) as restored_sha256
+from parts""",
 }
