@@ -25,19 +25,27 @@ Finish = Callable[[pa.Table, list[bytes]], pa.Table]
 
 
 def ask_and_answer(
-    rows: DataFrame, rounds: list[tuple[Ask, Answer]], finish: Finish, buckets: int, schema: str
+    rows: DataFrame, rounds: list[tuple[Ask, Answer]], finish: Finish, buckets: int, schema: str, order: tuple[str, ...] = ()
 ) -> DataFrame:
     """``rows`` has an int column ``block``.
 
+    A block's rows come in any order, and in another one in another pass: map outputs are fetched as
+    they arrive, and a lost task runs again.  Functions that carry positions from pass to pass need
+    ``order``: every pass then gets the block sorted by these columns.  Rows alike in them must be
+    interchangeable.
+
     Each round's ``ask`` gives one binary per bucket, from a block's rows and, after the first
     round, the answers of the round before; ``answer`` gets the binaries of one bucket and returns
     as many; ``finish`` gets a block's rows and the last answers, one per bucket.  Empty binaries
     are not sent and answered by empty ones, so there are no more of them than keys.
     """
 
+    def arranged(table):
+        return table.sort_by([(c, "ascending") for c in order]) if order else table
+
     def asked(ask):
         def run(key, table, *answers):
-            notes = ask(table, *(_by_bucket(a, buckets) for a in answers))
+            notes = ask(arranged(table), *(_by_bucket(a, buckets) for a in answers))
             sent = [bucket for bucket, note in enumerate(notes) if note]
             places = [pa.array(sent, pa.int32()), pa.array([key[0].as_py()] * len(sent), pa.int32())]
             return pa.table([*places, pa.array([notes[b] for b in sent], pa.binary())], schema=_NOTES)
@@ -53,7 +61,7 @@ def ask_and_answer(
         return run
 
     def finished(key, table, answers):
-        return finish(table, _by_bucket(answers, buckets))
+        return finish(arranged(table), _by_bucket(answers, buckets))
 
     answers = None
     for ask, answer in rounds:

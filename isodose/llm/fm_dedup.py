@@ -365,7 +365,9 @@ def deduplicate(
         F.col(ident).alias("ident"), F.col(text).cast("string").alias("text"), *(F.col(k).alias(n) for k, n in zip(keep, names, strict=True))
     )
     blocks = blocks_for(docs.sparkSession, text_bytes(rows))
-    rows = rows.withColumn("block", block_of(blocks, "ident", "text"))
+    # The passes exchange positions in a block's words.  Only texts matter for them, so rows of one
+    # text may change places; its hash goes first because it is quick to sort by.
+    rows = rows.withColumn("block", block_of(blocks, "ident", "text")).withColumn("text_hash", F.xxhash64("text"))
 
     def ask(table):
         return _ask_anchors(_Block(binary_list(table["text"]), length), blocks)
@@ -389,6 +391,7 @@ def deduplicate(
         finish,
         blocks,
         schema,
+        order=("text_hash", "text"),
     )
     return out.withColumnsRenamed({"ident": ident, "kept": "kept_text" if whole_text else "kept_sha256"} | dict(zip(names, keep, strict=True)))
 
