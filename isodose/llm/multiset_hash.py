@@ -28,8 +28,9 @@ from .common import batches, mix, parallelism, starts_of, word_ids
 EXACT, LANES = 8, 256
 #: Words per shingle.
 WIDTH = 3
-#: Ranges of consecutive documents per shuffle task, and sampled keys per range.
-RANGES_PER_TASK, KEYS_PER_RANGE = 2, 40
+#: Bytes of text per range of consecutive documents, on average; ranges per shuffle task at least;
+#: ranges at most (their bounds are part of the plan); sampled keys per range.
+RANGE_BYTES, RANGES_PER_TASK, MOST_RANGES, KEYS_PER_RANGE = 64 << 20, 2, 4096, 40
 BATCH = 500
 _SHORT = np.uint64(0x5851F42D4C957F2D)
 
@@ -222,15 +223,18 @@ def with_following(docs: DataFrame, ident: str, text: str, ranges: int | None =
 
     The rows of a bucket are consecutive documents; behind them comes one more with ``seam`` set,
     the first of the next bucket (of the first bucket, for the last one).  Ranges are cut at sampled
-    keys, which bounds what any task sorts.  Rows alike in id and text are told apart by a number
+    keys; their number follows the bytes, and a task sorts on disk what its memory does not hold.  Rows alike in id and text are told apart by a number
     of their own, so a range may start among them.
     """
     spark = docs.sparkSession
-    ranges = ranges or RANGES_PER_TASK * parallelism(spark)
     rows = docs.select(F.col(ident).alias("ident"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text")).withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
     keys = rows.select("ident", "h", "salt")
-    total = keys.count()
+    volume = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    total = volume["n"]
+    if ranges is None:
+        ranges = min(MOST_RANGES, max(RANGES_PER_TASK * parallelism(spark), (volume["bytes"] or 0) // RANGE_BYTES))
+    tasks = max(parallelism(spark), ranges // RANGES_PER_TASK)
     share = min(1.0, ranges * KEYS_PER_RANGE / max(total, 1))
     # Only these few keys come to the driver; they decide where work is cut, not what is computed.
     sample = keys.sample(share, seed=1).limit(2 * ranges * KEYS_PER_RANGE).union(keys.orderBy("ident", "h", "salt").limit(1))
@@ -259,7 +263,7 @@ def with_following(docs: DataFrame, ident: str, text: str, ranges: int | None =
         F.col("before").alias("bucket"), F.lit(True).alias("seam"),
     )
     both = dealt.select("ident", "text", "h", "salt", "bucket", F.lit(False).alias("seam")).unionByName(seams)
-    sorted_ = both.repartition(parallelism(spark), "bucket").sortWithinPartitions("bucket", "seam", "ident", "h", "salt")
+    sorted_ = both.repartition(tasks, "bucket").sortWithinPartitions("bucket", "seam", "ident", "h", "salt")
     return sorted_.select("ident", "text", "bucket", "seam")
 
 
