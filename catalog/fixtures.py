@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from isodose import Settings
 from isodose.plans.live import enriched_readings
+from isodose.sources import filelog, log
 from isodose.sources.csv import raw_json
 
 AS_OF = datetime(2024, 1, 31)
@@ -127,3 +128,19 @@ def stream_threshold():
     """A threshold that changes between micro-batches."""
     limits = iter((50.0, 100.0, 30.0))
     return lambda: next(limits)
+
+
+def event_log(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """The events as records of the raw topic, keyed by user and in order of time; how many."""
+    rows = raw(spark, sf_dir)
+    records = rows.select(
+        F.lit(log.TOPICS["raw"]).alias("topic"),
+        F.col("user_id").cast("string").alias("key"),
+        # The record brings its event along, which arrives in the text like any other field.
+        F.concat(F.lit('{"event_id":"'), F.col("event_id"), F.lit('",'), F.substr(raw_json(rows), F.lit(2))).alias("value"),
+        F.col("arrival_ts").alias("timestamp"),
+        "event_id",
+    )
+    ordered = records.repartitionByRange("timestamp").sortWithinPartitions("timestamp", "event_id")
+    filelog.append_log(ordered.drop("event_id"), path, partitions=3)
+    return rows.count()

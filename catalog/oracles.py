@@ -212,6 +212,20 @@ _SPIKE_ROWS = """
 select event_id, sensor_key, captured_at, cpm, spike_type, previous_cpm, rolling_avg_cpm, jump_ratio
 from spikes"""
 
+_RAW_JSON = """'{"captured_time":"' || captured_time || '","uploaded_time":"' || uploaded_time || '","latitude":"' || latitude
+ || '","longitude":"' || longitude || '","value":"' || value || '","unit":"' || unit
+ || '","location_name":"","device_id":"' || device_id || '","md5":"' || md5
+ || '","height":"","surface":"","radiation":"","loader_id":""}'"""
+
+#: Readings whose sensor is named after each stretch without a day of silence.
+_STRETCHED = f""", gaps as (
+ select *, coalesce(epoch_us(arrival_ts) - lag(epoch_us(arrival_ts)) over s > {DAY * 1000}, false) as fresh
+ from named window s as (partition by sensor_key order by {ARRIVAL})),
+stretched as (
+ select * exclude (fresh) replace (sensor_key || '#' || sum(fresh::int) over (partition by sensor_key order by {ARRIVAL}) as sensor_key)
+ from gaps)"""
+_OF_SENSOR = "replace (split_part(sensor_key, '#', 1) as sensor_key)"
+
 _LATEST = f"""
 select event_id, sensor_key, captured_at, cpm, level from enr
 qualify row_number() over (partition by sensor_key order by captured_at desc, {ARRIVAL}) = 1"""
@@ -279,11 +293,7 @@ ORACLES: dict[str, str] = {
 select * from fields union all select * from fields where md5 >= '8'""",
     "newest_first_capped": BASE + """select event_id, epoch_us(arrival_ts) as uploaded_ts from raw
  order by arrival_ts desc, event_id desc limit 1000""",
-    "raw_messages": BASE + """select event_id,
- '{"captured_time":"' || captured_time || '","uploaded_time":"' || uploaded_time || '","latitude":"' || latitude
- || '","longitude":"' || longitude || '","value":"' || value || '","unit":"' || unit
- || '","location_name":"","device_id":"' || device_id || '","md5":"' || md5
- || '","height":"","surface":"","radiation":"","loader_id":""}' as value from raw""",
+    "raw_messages": BASE + f"select event_id, {_RAW_JSON} as value from raw",
     "csv_messages": BASE + """select event_id, captured_time, latitude, longitude, value, unit, device_id, md5
  from raw""",
     "partition_keys": BASE + f"""select event_id, case when trim(device_id) <> '' then 'dev:' || trim(device_id)
@@ -479,6 +489,24 @@ from enr join labelled l on lat = latitude and lon = longitude""",
 select event_id, sensor_key, captured_at, level, l.city, l.country
 from alerts join labelled l on lat = latitude and lon = longitude""",
     "stream_spikes": BASE + _EMA + _SPIKE_ROWS,
+    "stream_keyed_products": BASE + _STRETCHED + _ALERTS.replace("from named", "from stretched") + f""",
+newest as ({_NEWEST.replace("from enr", "from stretched")}),
+both_products as (
+ select 'current' as product, event_id, sensor_key, captured_at, level from newest
+ union all select 'alerts', event_id, sensor_key, captured_at, level from alerts)
+select * {_OF_SENSOR} from both_products""",
+    "stream_keyed_spikes": BASE + _STRETCHED + _EMA.replace("from enr", "from stretched") + f""",
+found as ({_SPIKE_ROWS})
+select * {_OF_SENSOR} from found""",
+    "log_records": BASE + f"""select 'radiation-raw' as topic, cast(user_id as varchar) as key, epoch_us(arrival_ts) as arrival_ts,
+ md5('{{"event_id":"' || event_id || '",' || substr({_RAW_JSON}, 2)) as value_md5 from raw""",
+    "log_fan_out": BASE + _ALERTS + """
+select 'clean' as product, event_id, sensor_key, captured_at, level from enr
+union all select 'alerts', event_id, sensor_key, captured_at, level from alerts""",
+    "log_paced": """
+select cast(user_id as varchar) as key, count(*) as records, epoch_us(max(ts)) as latest, turn
+from events, (values (0, timestamp '2024-01-11'), (1, timestamp '2024-01-26')) t(turn, until)
+where ts <= until group by user_id, turn""",
     "stream_global_stats": BASE + _stats("day"),
     "stream_heatmap": BASE + _cells() + _CELL_NAMES + f"""
 select {_CELL_COLUMNS}, city, country from cells join labelled on lat = cell_lat and lon = cell_lon""",

@@ -6,7 +6,7 @@ Timestamps leave as epoch microseconds, so that no client time zone can change a
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +30,8 @@ from isodose.operators import (
 )
 from isodose.plans import feed
 from isodose.session import scratch_path
-from isodose.sources import csv, tables
-from isodose.streaming import live, pipeline
+from isodose.sources import csv, filelog, log, tables
+from isodose.streaming import keyed, live, pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -607,3 +607,94 @@ def retention_drop(spark, sf_dir):
     _live(spark, sf_dir, readings_path=path, places=None)
     tables.drop_expired(spark, path, X.AS_OF, days=10)
     return tables.read_readings(spark, path).select("sensor_key", "captured_at", "ingested_at", "cpm")
+
+
+# ---------------------------------------------------------------- keyed state, message log
+
+TTL_SECONDS = 86_400.0
+
+
+def _keyed(spark: SparkSession, sf_dir: str) -> str:
+    """Where the marked readings are after all micro-batches; sensors silent for a day start afresh."""
+    path = scratch_path(spark, "keyed")
+    messages = X.event_stream(spark, sf_dir, f"{path}/messages")
+    rows = pipeline.enriched_stream(messages, SETTINGS, ("arrival_ts", "event_id"))
+    marked = keyed.keyed_products(rows, SETTINGS, TTL_SECONDS)
+    keyed.start_keyed(marked, f"{path}/out", available_now=True).awaitTermination()
+    return f"{path}/out"
+
+
+@query
+def stream_keyed_products(spark, sf_dir):
+    path = _keyed(spark, sf_dir)
+    parts = [
+        keyed.read_keyed(spark, path, name, SETTINGS).select(F.lit(name).alias("product"), *KEY, "level")
+        for name in ("current", "alerts")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def stream_keyed_spikes(spark, sf_dir):
+    return keyed.read_keyed(spark, _keyed(spark, sf_dir), "spikes", SETTINGS).select(
+        *KEY, "cpm", "spike_type", "previous_cpm", "rolling_avg_cpm", "jump_ratio"
+    )
+
+
+def _drain(query) -> None:
+    """Run a stream until it has read all there is."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+@query
+def log_records(spark, sf_dir):
+    path = scratch_path(spark, "log")
+    X.event_log(spark, sf_dir, path)
+    return filelog.read_log(spark, path, [log.TOPICS["raw"]]).select("topic", "key", "arrival_ts", F.md5("value").alias("value_md5"))
+
+
+@query
+def log_fan_out(spark, sf_dir):
+    """Raw topic to a topic per product and back, a quarter of the records at a time."""
+    path = scratch_path(spark, "log")
+    limit = X.event_log(spark, sf_dir, path) // 4 + 1
+    for name in ("clean", "alerts"):
+        checkpoint = f"{path}/_checkpoints/{name}"
+        feed_ = filelog.stream_log(spark, path, [log.TOPICS["raw"]], checkpoint, max_offsets=limit)
+        numbered = feed_.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("long"))
+        rows = pipeline.enriched_stream(numbered, SETTINGS, ("arrival_ts", "event_id"))
+        if name == "alerts":
+            rows = keyed.keyed_products(rows, SETTINGS).where("is_alert")
+        messages = log.as_messages(rows.select(*KEY, "level"), log.TOPICS[name], key="sensor_key")
+        _drain(filelog.write_log(messages, path, checkpoint, name).start())
+    topics = [log.TOPICS["clean"], log.TOPICS["alerts"]]
+    record = "event_id long, sensor_key string, captured_at long, level string"
+    typed = log.route(filelog.read_log(spark, path, topics), dict.fromkeys(topics, record))
+    return typed[topics[0]].select(F.lit("clean").alias("product"), *KEY, "level").unionByName(
+        typed[topics[1]].select(F.lit("alerts").alias("product"), *KEY, "level")
+    )
+
+
+@query
+def log_paced(spark, sf_dir):
+    """A replay whose clock and rate change between runs: what has been read after ten and after 25 days."""
+    path = scratch_path(spark, "log")
+    limit = X.event_log(spark, sf_dir, path) // 5 + 1
+    checkpoint, control = f"{path}/_checkpoints/paced", f"{path}/_control/rate.json"
+    first, begun = datetime(2024, 1, 1), datetime(2030, 1, 1)
+    stages = []
+    for turn, (hours, speed, most) in enumerate(((1, 240.0, limit), (2, 300.0, None))):
+        now = filelog.due_until(first, begun, begun + timedelta(hours=hours), speed)
+        filelog.set_rate(control, most, now.replace(tzinfo=UTC))
+        rows = filelog.stream_log(spark, path, [log.TOPICS["raw"]], checkpoint, control)
+        out = rows.select("key", "arrival_ts").writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        _drain(out.start(f"{path}/_out"))
+        read = spark.read.schema("key string, arrival_ts timestamp").parquet(f"{path}/_out")
+        # Written, as the next turn adds files to the folder.
+        place = f"{path}/_turns/{turn}"
+        read.groupBy("key").agg(F.count(F.lit(1)).alias("records"), F.max("arrival_ts").alias("latest")).write.parquet(place)
+        stages.append(spark.read.parquet(place).withColumn("turn", F.lit(turn)))
+    return stages[0].unionByName(stages[1])
