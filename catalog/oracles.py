@@ -212,6 +212,13 @@ _SPIKE_ROWS = """
 select event_id, sensor_key, captured_at, cpm, spike_type, previous_cpm, rolling_avg_cpm, jump_ratio
 from spikes"""
 
+#: The last reading of a sensor that each five-hour frame newly shows.
+_FILM = """, framed as (
+ select *, greatest(0, cast(ceil((epoch_us(arrival_ts) // 1000 - epoch_ms(timestamp '2024-01-01')) / 18e6) as bigint)) as frame from enr),
+changes as (
+ select * from framed
+ qualify row_number() over (partition by sensor_key, frame order by arrival_ts desc, event_id desc) = 1)"""
+
 _RAW_JSON = """'{"captured_time":"' || captured_time || '","uploaded_time":"' || uploaded_time || '","latitude":"' || latitude
  || '","longitude":"' || longitude || '","value":"' || value || '","unit":"' || unit
  || '","location_name":"","device_id":"' || device_id || '","md5":"' || md5
@@ -474,6 +481,19 @@ where arrival_ts <= timestamp '2024-01-15'
 qualify row_number() over (partition by sensor_key order by arrival_ts desc, event_id desc) = 1""",
     "replay_frames": BASE + """select cast(ceil((epoch_us(arrival_ts) // 1000 - epoch_ms(timestamp '2024-01-01')) / 18e6) as bigint)
  as frame, count(*) as rows, count(distinct sensor_key) as sensors from enr group by 1""",
+    "replay_film": BASE + _FILM + """
+select frame // 24 as segment, frame, false as is_key, event_id, sensor_key, captured_at from changes
+union all
+select segment, frame, true, event_id, sensor_key, captured_at
+from changes, (select unnest(range(1, (select max(frame) // 24 + 1 from changes))) as segment)
+where frame < segment * 24
+qualify row_number() over (partition by segment, sensor_key order by frame desc) = 1""",
+    "replay_film_frames": BASE + """, numbers as (select unnest(range(0, 145, 7)) as number)
+select number, event_id, sensor_key, captured_at, cpm, level from enr, numbers
+where epoch_us(arrival_ts) // 1000 - epoch_ms(timestamp '2024-01-01') <= number * 18000000
+qualify row_number() over (partition by number, sensor_key order by arrival_ts desc, event_id desc) = 1""",
+    "compacted_readings": BASE + """select epoch_us(make_timestamp(captured_at * 1000)) as captured_at,
+ epoch_us(arrival_ts) as ingested_at, sensor_key, city, country, latitude, longitude, cpm, level from named""",
     "replay_order": BASE + """select event_id, epoch_us(arrival_ts) as ingested_at from enr
  where event_id % 17 <> 0""",
     "sensor_cap": BASE + _CAP + """select sensor_key, epoch_us(first_seen) as first_seen from firsts

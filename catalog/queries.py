@@ -113,6 +113,22 @@ def alerts_table(spark, sf_dir):
     return tables.read_alerts(spark, path).drop(tables.PARTITION)
 
 
+@query
+def compacted_readings(spark, sf_dir):
+    """A history table with most dates compacted and one compaction cut off behind its note."""
+    path = scratch_path(spark, "readings")
+    rows = tables.as_readings(X.named(spark, sf_dir))
+    for batch_id, first in enumerate(("2024-01-01", "2024-01-10", "2024-01-20")):
+        last = ("2024-01-10", "2024-01-20", "2030-01-01")[batch_id]
+        part = rows.where((F.col("ingested_at") >= first) & (F.col("ingested_at") < last))
+        tables.overwrite_batch(part, path, batch_id)
+    for day in ("2024-01-02", "2024-01-15"):
+        tables.compact(spark, path, day)
+    for _ in zip(range(3), tables._compaction(spark, path, "2024-01-21"), strict=False):
+        pass
+    return tables.read_readings(spark, path).drop(tables.PARTITION)
+
+
 @query
 def retained(spark, sf_dir):
     rows = X.enriched(spark, sf_dir).withColumn("captured_ts", parse.from_epoch_ms(F.col("captured_at")))
@@ -346,8 +362,7 @@ def heatmap(spark, sf_dir):
 @query
 def top_hotspots(spark, sf_dir):
     cells = heat.heat_cells(X.enriched(spark, sf_dir), SETTINGS.window, SETTINGS.geohash_precision)
-    named = heat.with_cell_places(cells, X.places(spark, sf_dir), X.countries(spark, sf_dir))
-    return heat.flat_hotspots(heat.top_hotspots(named, SETTINGS.top_n))
+    return heat.flat_hotspots(heat.top_hotspots(cells, SETTINGS.top_n, X.places(spark, sf_dir), X.countries(spark, sf_dir)))
 
 
 @query
@@ -515,6 +530,25 @@ def replay_frames(spark, sf_dir):
     return replay.replay_frames(X.readings(spark, sf_dir), datetime(2024, 1, 1), frame_ms=60_000, speed=300)
 
 
+def _film(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-hour frames, a key frame every 24, stored and read back."""
+    path = scratch_path(spark, "film")
+    film = replay.replay_film(X.readings(spark, sf_dir), datetime(2024, 1, 1), 60_000, 300, key_every=24, ties=["event_id"])
+    replay.write_film(film, path)
+    return spark.read.schema(film.schema).parquet(path)
+
+
+@query
+def replay_film(spark, sf_dir):
+    return _film(spark, sf_dir).select("segment", "frame", "is_key", *KEY)
+
+
+@query
+def replay_film_frames(spark, sf_dir):
+    """Every seventh frame, rebuilt from the stored film."""
+    return replay.film_frames(_film(spark, sf_dir), range(0, 145, 7), key_every=24).select("number", *KEY, "cpm", "level")
+
+
 @query
 def replay_order(spark, sf_dir):
     rows = X.readings(spark, sf_dir).withColumn(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from isodose import schemas as S
 from isodose.functions import geo
 from isodose.functions.levels import level_of
-from isodose.operators.nearest import nearest_place
+from isodose.operators.nearest import PlaceIndex, nearest_place
 from isodose.operators.ordered import neighbour, slice_hot_keys
 
 FAR_FUTURE = "9999-12-31 00:00:00"
@@ -97,7 +97,7 @@ def with_country_name(df: DataFrame, countries: DataFrame, code: str = "cc") ->
 
 def with_place(
     df: DataFrame,
-    places: DataFrame,
+    places: DataFrame | PlaceIndex,
     countries: DataFrame | None = None,
     lat: str = "latitude",
     lon: str = "longitude",

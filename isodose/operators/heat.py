@@ -12,6 +12,7 @@ from isodose.functions.geo import with_geohash
 from isodose.functions.levels import level_name, level_rank
 from isodose.functions.numeric import exact_avg, round_exact
 from isodose.operators.enrich import with_place
+from isodose.operators.nearest import PlaceIndex
 from isodose.operators.filters import alive
 from isodose.operators.latest import first_per_key
 from isodose.operators.stats import window_bounds
@@ -60,7 +61,7 @@ def heat_cells(
     )
 
 
-def with_cell_places(cells: DataFrame, places: DataFrame, countries: DataFrame | None = None) -> DataFrame:
+def with_cell_places(cells: DataFrame, places: DataFrame | PlaceIndex, countries: DataFrame | None = None) -> DataFrame:
     """Label cells with the place nearest to their centre, looked up once per cell."""
     return with_place(cells, places, countries, lat="cell_lat", lon="cell_lon")
 
@@ -85,9 +86,16 @@ def hotspot_struct(rank: Column) -> Column:
     )
 
 
-def top_hotspots(cells: DataFrame, n: int = S.DEFAULTS.top_n) -> DataFrame:
+def top_hotspots(
+    cells: DataFrame,
+    n: int = S.DEFAULTS.top_n,
+    places: DataFrame | PlaceIndex | None = None,
+    countries: DataFrame | None = None,
+) -> DataFrame:
     """The ``n`` worst unsafe cells of each window as ``count, hotspots[]``.
 
+    ``places`` names the cells that made it; otherwise they keep the names they have, if any.
+
     A window of safe cells only is reported with count 0.  Safe cells sort last, so the
     row-number limit (which Spark applies before the shuffle too) always leaves at least
     one row per window, and the list holds no more than ``n`` entries.
@@ -101,6 +109,8 @@ def top_hotspots(cells: DataFrame, n: int = S.DEFAULTS.top_n) -> DataFrame:
         .withColumn("_rank", F.row_number().over(worst_first))
         .filter(F.col("_rank") <= n)
     )
+    if places is not None:
+        ranked = with_cell_places(ranked, places, countries)
     listed = F.sort_array(F.collect_list(F.when(unsafe, hotspot_struct(F.col("_rank")))))
     return ranked.groupBy(*WINDOW).agg(listed.alias("hotspots")).select(
         *WINDOW, F.size("hotspots").alias("count"), "hotspots"

@@ -12,7 +12,7 @@ from isodose import schemas as S
 from isodose.functions.parse import utc_time
 from isodose.operators.filters import check_speed
 from isodose.operators.latest import first_per_key
-from isodose.operators.ordered import SLICE, across, slice_hot_keys, slice_totals
+from isodose.operators.ordered import SLICE, across, neighbour, slice_hot_keys, slice_totals
 
 
 def newest_first(df: DataFrame, time_col: str = "uploaded_ts", ties: Sequence[str] = ()) -> DataFrame:
@@ -110,6 +110,63 @@ def replay_frames(
     )
 
 
+def replay_film(
+    readings: DataFrame,
+    start: datetime,
+    frame_ms: int = 1000,
+    speed: int = 1,
+    key_every: int = 300,
+    time_col: str = "ingested_at",
+    ties: Sequence[str] = (),
+    max_rows: int | None = None,
+) -> DataFrame:
+    """All frames of a replay in a form that can be entered anywhere: key frames and changes.
+
+    Columns ``segment``, ``frame``, ``is_key`` and those of ``readings``.  A *change* is the last
+    reading of a sensor that one frame newly shows.  A segment is ``key_every`` frames long and
+    begins with a *key* row per sensor known by then: its last change before the segment, under
+    that change's own frame number.  So a frame needs the rows of its own segment alone, and there
+    is a row per change plus one per sensor and segment, not one per sensor and frame.  Everything
+    up to ``start`` is frame 0; rows without a time are in no frame.  The last segment is that of
+    the last change.
+    """
+    step = F.greatest(frame_number(time_col, start, frame_ms, speed), F.lit(0)).cast("bigint")
+    framed = readings.filter(F.col(time_col).isNotNull()).withColumn("frame", step)
+    changes = first_per_key(framed, ["sensor_key", "frame"], F.desc(time_col), *[F.desc(name) for name in ties])
+    last = framed.agg(F.max("frame")).first()[0]
+    if last is None:
+        last = 0
+    sliced = slice_hot_keys(changes, ["sensor_key"], ["frame"], **({} if max_rows is None else {"max_rows": max_rows}))
+    shown = neighbour(sliced, "frame", "_until", step=1).drop(SLICE)
+
+    def segment(frame: Column) -> Column:
+        return F.floor(frame / F.lit(key_every)).cast("bigint")
+
+    # A change is the state at the start of every segment after its own, up to the next change's.
+    first, final = segment(F.col("frame")) + 1, segment(F.coalesce("_until", F.lit(last)))
+    keys = F.when(first <= final, F.sequence(first, final)).otherwise(F.array().cast("array<bigint>"))
+    parts = F.concat(F.array(F.struct(segment(F.col("frame")).alias("segment"), F.lit(False).alias("is_key"))),
+                     F.transform(keys, lambda s: F.struct(s.alias("segment"), F.lit(True).alias("is_key"))))
+    return shown.withColumn("_part", F.explode(parts)).select("_part.segment", "frame", "_part.is_key", *readings.columns)
+
+
+def write_film(film: DataFrame, path: str) -> None:
+    """Store a film with a folder per segment."""
+    film.hint("rebalance", "segment").write.mode("overwrite").partitionBy("segment").parquet(path)
+
+
+def film_frames(film: DataFrame, numbers: Sequence[int], key_every: int) -> DataFrame:
+    """State of every sensor in each of the given frames, with the frame in ``number``.
+
+    A frame reads the rows of its own segment; the segments are pruned on a stored film.
+    """
+    asked = film.sparkSession.createDataFrame([(n, n // key_every) for n in sorted(set(numbers))], "number long, _segment long")
+    near = film.filter(F.col("segment").isin(sorted({n // key_every for n in numbers})))
+    # As many rows as frames are asked for.
+    shown = near.join(F.broadcast(asked), (F.col("segment") == F.col("_segment")) & (F.col("frame") <= F.col("number")))
+    return first_per_key(shown, ["number", "sensor_key"], F.desc("frame")).drop("segment", "_segment", "frame", "is_key")
+
+
 def sensor_cap(
     rows: DataFrame, cap: int = 2500, order: str = "arrival_ts", ties: str = "event_id"
 ) -> DataFrame:

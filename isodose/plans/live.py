@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from isodose.functions.parse import parse_columns, parse_json
 from isodose.operators import alerts, enrich, heat, latest, spikes, stats
+from isodose.operators.nearest import PlaceIndex
 from isodose.operators.ordered import slice_hot_keys
 from isodose.operators.quality import clean_readings
 from isodose.schemas import DEFAULTS, Settings
@@ -57,7 +58,7 @@ def _once(enriched: DataFrame) -> DataFrame:
 def products(
     enriched: DataFrame,
     settings: Settings = DEFAULTS,
-    places: DataFrame | None = None,
+    places: DataFrame | PlaceIndex | None = None,
     countries: DataFrame | None = None,
 ) -> Products:
     """All products of enriched readings.
@@ -66,6 +67,7 @@ def products(
     reads that table.  Busy sensors are looked for once and shared.
     """
     if places is not None:
+        places = places if isinstance(places, PlaceIndex) else PlaceIndex(places)
         enriched = enrich.with_place(enriched, places, countries)
     enriched = _once(enriched)
     sliced = slice_hot_keys(enriched, ["sensor_key"], latest.ARRIVAL)

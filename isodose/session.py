@@ -61,3 +61,44 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared one that nothing reads any more."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def put_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file as a whole or not at all; one that is there is replaced."""
+    jvm = spark.sparkContext._jvm
+    place, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{os.urandom(6).hex()}.part")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(place, False)
+    files.rename(part, place)
+
+
+def get_note(spark: SparkSession, path: str) -> str | None:
+    """The text of such a file, or None."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"cannot rename {source} to {target}")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,7 @@ from pyspark.sql import types as T
 from isodose import schemas as S
 from isodose.functions.parse import from_epoch_ms
 from isodose.functions.text import alert_text, display_name
+from isodose.session import get_note, list_dir, move, put_note, remove
 
 #: All history queries filter on ingestion time, so that is what folders are named after.
 PARTITION = "ingested_date"
@@ -65,30 +69,87 @@ def overwrite_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     writer.partitionBy(PARTITION, BATCH).parquet(path)
 
 
+#: Where compactions that are not finished are noted, beside the date folders.
+_NOTES = "_compactions"
+
+
 def compact(spark: SparkSession, path: str, day: str) -> None:
     """Rewrite a closed date as one bulk part, without a folder per micro-batch.
 
-    The new part is written first; until the old folders are gone a reader may see rows twice,
-    so run it on dates that nothing reads at the moment.
+    The new part is written out of sight, then a note is put down that names it and the folders it
+    replaces.  From that moment :func:`read_readings` and :func:`read_alerts` follow the note, so
+    rows are seen once whatever happens next; :func:`recover` finishes what was cut off.  Batches
+    must not write to the date any more, least of all repeat themselves.
     """
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION}={day}")
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = [status.getPath() for status in files.listStatus(folder)]
-    part = jvm.org.apache.hadoop.fs.Path(folder, "_compacting")
-    rows = spark.read.parquet(str(folder)).drop(BATCH)
-    rows.hint("rebalance").sortWithinPartitions("sensor_key", "ingested_at").write.mode("overwrite").parquet(str(part))
-    for place in old:
-        files.delete(place, True)
-    files.rename(part, jvm.org.apache.hadoop.fs.Path(folder, f"{BATCH}={BULK}"))
+    recover(spark, path)
+    for _ in _compaction(spark, path, day):
+        pass
+
+
+def _compaction(spark: SparkSession, path: str, day: str) -> Iterator[None]:
+    """The steps of :func:`compact`; each leaves the table readable."""
+    folder = f"{path}/{PARTITION}={day}"
+    old = [int(n.split("=")[1]) for n in list_dir(spark, folder) if n.startswith(f"{BATCH}=")]
+    if not old:
+        return
+    # A number of its own, so that no reader takes the new part for one of the old.
+    new = min(BULK, *old) - 1
+    hidden = f"_part-{-new}"
+    rows = spark.read.parquet(*(f"{folder}/{BATCH}={n}" for n in old))
+    rows.hint("rebalance").sortWithinPartitions("sensor_key", "ingested_at").write.mode("overwrite").parquet(f"{folder}/{hidden}")
+    yield
+    put_note(spark, f"{path}/{_NOTES}/{day}", json.dumps({"old": old, "new": new, "hidden": hidden}))
+    yield
+    yield from _finish(spark, path, day)
+
+
+def _finish(spark: SparkSession, path: str, day: str) -> Iterator[None]:
+    """From the note on: old folders go, the new part comes into sight, the note goes."""
+    note, folder = json.loads(get_note(spark, f"{path}/{_NOTES}/{day}")), f"{path}/{PARTITION}={day}"
+    there = list_dir(spark, folder)
+    if note["hidden"] in there:
+        for number in note["old"]:
+            remove(spark, f"{folder}/{BATCH}={number}")
+            yield
+        move(spark, f"{folder}/{note['hidden']}", f"{folder}/{BATCH}={note['new']}")
+        yield
+    remove(spark, f"{path}/{_NOTES}/{day}")
+    yield
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish compactions that were cut off behind their note; call it before writing starts."""
+    for day in _noted(spark, path):
+        for _ in _finish(spark, path, day):
+            pass
+
+
+def _noted(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in list_dir(spark, f"{path}/{_NOTES}") if not n.endswith(".part")]
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows, each once: compactions under way are read as if they were finished."""
+    rows = spark.read.schema(_with_date(schema)).parquet(path)
+    parts = []
+    for day in _noted(spark, path):
+        text = get_note(spark, f"{path}/{_NOTES}/{day}")
+        note = json.loads(text) if text else None
+        if note is None or note["hidden"] not in list_dir(spark, f"{path}/{PARTITION}={day}"):
+            continue  # finished in between, or all but the note
+        date = F.lit(day).cast("date")
+        rows = rows.filter((F.col(PARTITION) != date) | ~F.col(BATCH).isin(note["old"]))
+        part = spark.read.schema(schema).parquet(f"{path}/{PARTITION}={day}/{note['hidden']}")
+        parts.append(part.withColumn(PARTITION, date).withColumn(BATCH, F.lit(note["new"])))
+    return reduce(DataFrame.unionByName, parts, rows).drop(BATCH)
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_with_date(S.READINGS)).parquet(path).drop(BATCH)
+    return _read(spark, path, S.READINGS)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_with_date(S.ALERTS)).parquet(path).drop(BATCH)
+    return _read(spark, path, S.ALERTS)
 
 
 def _with_date(schema):

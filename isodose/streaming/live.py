@@ -21,9 +21,10 @@ from isodose.functions.geo import with_geohash
 from isodose.functions.levels import level_rank
 from isodose.functions.numeric import round_exact
 from isodose.operators import alerts, enrich, heat, latest, spikes
+from isodose.operators.nearest import PlaceIndex
 from isodose.operators.stats import merge_stats, stats_partials, window_bounds
 from isodose.schemas import DEFAULTS, Settings
-from isodose.session import remove
+from isodose.session import get_note, put_note, remove
 from isodose.sources import tables
 
 KEYED = ("current", "alerts", "spikes")
@@ -35,8 +36,8 @@ PRODUCTS = ("clean", *KEYED, *WINDOWED)
 class LiveTables:
     """Writer (``foreachBatch``) and reader of the product tables below ``path``.
 
-    ``threshold`` is asked at the start of every batch, so a change takes effect without a
-    restart.  ``places`` and ``countries`` name each new sensor once.  A sensor silent for
+    ``threshold`` is asked at the start of every new batch, so a change takes effect without a
+    restart, while a repeated batch keeps the one it had.  ``places`` and ``countries`` name each new sensor once.  A sensor silent for
     ``ttl_seconds`` of arrival time starts afresh.  ``readings_path`` and ``alerts_path`` are
     history tables to keep up to date.  ``order`` must identify a row within its sensor; a
     message log adds its partition and offset.
@@ -45,7 +46,7 @@ class LiveTables:
     path: str
     settings: Settings = DEFAULTS
     threshold: Callable[[], float] | None = None
-    places: DataFrame | None = None
+    places: DataFrame | PlaceIndex | None = None
     countries: DataFrame | None = None
     order: Sequence[str] = latest.ARRIVAL
     only: Sequence[str] = PRODUCTS
@@ -58,8 +59,7 @@ class LiveTables:
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Write all tables of one batch of clean rows."""
-        limit = self.settings.threshold if self.threshold is None else self.threshold()
-        rows = enrich.enrich(batch, limit)
+        rows = enrich.enrich(batch, self._limit(batch.sparkSession, batch_id))
         if self.places is not None:
             rows = self._named(self._store(rows, "unnamed", batch_id), batch_id)
         rows = self._store(rows, "clean", batch_id)
@@ -77,6 +77,17 @@ class LiveTables:
             tables.overwrite_batch(tables.as_readings(_with_names(rows)), self.readings_path, batch_id)
         self._forget(rows.sparkSession, batch_id)
 
+    def _limit(self, spark: SparkSession, batch_id: int) -> float:
+        """The threshold of a batch, asked once and noted: a repeated batch gets the same levels."""
+        if self.threshold is None:
+            return self.settings.threshold
+        place = f"{self.path}/_thresholds/{batch_id}"
+        noted = get_note(spark, place)
+        if noted is None:
+            noted = repr(float(self.threshold()))
+            put_note(spark, place, noted)
+        return float(noted)
+
     def _store(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
         """Write a batch's part of a table; what follows reads it back."""
         path = f"{self.path}/{name}/batch_id={batch_id}"
@@ -85,9 +96,11 @@ class LiveTables:
 
     def _forget(self, spark: SparkSession, batch_id: int) -> None:
         """Drop what no later or repeated batch reads: older state, rows before they had names."""
-        remove(spark, f"{self.path}/unnamed/batch_id={batch_id}")
+        for name in ("unnamed", "unknown"):
+            remove(spark, f"{self.path}/{name}/batch_id={batch_id}")
         for name in ("places", *KEYED):
             remove(spark, f"{self.path}/state-{name}/batch_id={batch_id - 2}")
+        remove(spark, f"{self.path}/_thresholds/{batch_id - 2}")
 
     def _state(self, rows: DataFrame, name: str, batch_id: int, ddl: str) -> DataFrame:
         """What sensors left behind up to the batch before; expired ones have left nothing."""
@@ -117,10 +130,19 @@ class LiveTables:
             .groupBy("sensor_key")
             .agg(F.min_by("latitude", F.struct(*self.order)).alias("latitude"), F.min_by("longitude", F.struct(*self.order)).alias("longitude"))
         )
-        found = enrich.with_place(new, self.places, self.countries).select("sensor_key", "city", "country")
-        names = self._store(known.unionByName(found), "state-places", batch_id)
+        new = self._store(new, "unknown", batch_id)
+        if not new.isEmpty():
+            found = enrich.with_place(new, self._index(), self.countries).select("sensor_key", "city", "country")
+            known = known.unionByName(found)
+        names = self._store(known, "state-places", batch_id)
         return rows.join(names, "sensor_key", "left")
 
+    def _index(self) -> PlaceIndex:
+        """The gazetteer's tree, built at the first search and shared by all batches and readers."""
+        if not isinstance(self.places, PlaceIndex):
+            self.places = PlaceIndex(self.places)
+        return self.places
+
     def _after_state(self, rows: DataFrame, old: DataFrame, *columns: str) -> DataFrame:
         """Rows, led by each sensor's state as a row of its own that comes first."""
         first = old.select("sensor_key", *columns, F.lit(0).alias("_turn"))
@@ -172,13 +194,14 @@ class LiveTables:
     def read(self, spark: SparkSession, product: str) -> DataFrame:
         """A product as it stands: ``top`` is ranked from the cells, windows include open ones."""
         if product == "top":
-            return heat.top_hotspots(self.read(spark, "heatmap"), self.settings.top_n)
+            cells = merge_cell_partials(spark.read.parquet(f"{self.path}/heatmap").drop("batch_id"))
+            return heat.top_hotspots(cells, self.settings.top_n, None if self.places is None else self._index(), self.countries)
         stored = spark.read.parquet(f"{self.path}/{product}").drop("batch_id")
         if product == "stats":
             return merge_stats(stored, self.settings.window)
         if product == "heatmap":
             cells = merge_cell_partials(stored)
-            return cells if self.places is None else heat.with_cell_places(cells, self.places, self.countries)
+            return cells if self.places is None else heat.with_cell_places(cells, self._index(), self.countries)
         return stored
 
 

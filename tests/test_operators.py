@@ -267,3 +267,62 @@ def test_all_products_with_places(spark):
     assert out.alerts.filter("cpm = 100 and event_id < 20 and level = 'warning'").count() > 0
     assert out.alerts.filter("cpm = 100 and event_id >= 20 and level = 'elevated'").count() > 0
     assert out.spikes.filter("jump_ratio = 2.5").count() == 10
+
+
+def test_one_index_for_many_searches(spark, tmp_path, monkeypatch):
+    rng = random.Random(12)
+    spots = [(i, f"c{i}", "X", *spot) for i, spot in enumerate(gazetteer("one city", rng) + gazetteer("even", rng))]
+    places = spark.createDataFrame(spots, "place_id long, city string, cc string, lat double, lon double")
+    index = nearest.PlaceIndex(places, str(tmp_path / "index"))
+    points = spark.createDataFrame([(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(200)], "lat double, lon double")
+    want = {tuple(r) for r in nearest.nearest_place(points, places, "lat", "lon").collect()}
+    monkeypatch.setattr(nearest, "_depth_for", None)  # nothing is built again
+    for _ in range(2):
+        assert {tuple(r) for r in nearest.nearest_place(points, index, "lat", "lon").collect()} == want
+    assert sorted(p.name for p in (tmp_path / "index").iterdir()) == ["levels", "spots"]
+
+
+def test_only_winners_are_named(spark):
+    moment = datetime(2024, 1, 1)
+    rows = [(moment, moment + timedelta(1), f"g{i}", float(i), float(i), 60.0 + i, 60.0 + i, 1, "warning") for i in range(30)]
+    cells = spark.createDataFrame(
+        rows, "window_start timestamp, window_end timestamp, geohash string, cell_lat double, cell_lon double, avg_cpm double, max_cpm double, count long, level string"
+    )
+    places = spark.createDataFrame([(1, "South", "S", 0.0, 0.0), (2, "North", "N", 29.0, 29.0)], "place_id long, city string, cc string, lat double, lon double")
+    late = heat.top_hotspots(cells, 20, places).first()
+    early = heat.top_hotspots(heat.with_cell_places(cells, places), 20).first()
+    assert late == early and {h.city for h in late.hotspots} == {"North", "South"}
+
+
+@pytest.mark.parametrize("max_rows", [None, 10])
+def test_any_frame_of_a_film_is_the_frame(spark, tmp_path, max_rows):
+    rng = random.Random(21)
+    begin = datetime(2024, 1, 1)
+    rows = [(i, "hot" if rng.random() < 0.4 else f"s{rng.randrange(12)}", begin + timedelta(seconds=rng.randrange(-50, 900)), float(i)) for i in range(300)]
+    rows += [(900, "s1", None, 1.0), (901, "late", begin + timedelta(seconds=899), 2.0)]
+    readings = spark.createDataFrame(rows, "event_id long, sensor_key string, ingested_at timestamp, cpm double")
+    film = replay.replay_film(readings, begin, 1000, 10, key_every=7, ties=["event_id"], max_rows=max_rows)
+    replay.write_film(film, str(tmp_path / "film"))
+    stored = spark.read.parquet(str(tmp_path / "film"))
+    numbers = [*range(0, 96)]
+    got = replay.film_frames(stored, numbers, key_every=7)
+    by_frame = {n: set() for n in numbers}
+    for row in got.collect():
+        by_frame[row["number"]].add((row["sensor_key"], row["event_id"], row["cpm"]))
+    for n in (0, 1, 6, 7, 8, 13, 14, 50, 69, 70, 89, 90, 95):
+        at = begin + timedelta(seconds=10 * n)
+        want = {(r["sensor_key"], r["event_id"], r["cpm"]) for r in replay.replay_frame(readings, at, ties=["event_id"]).collect()}
+        # Beyond the last segment there is nothing: it ends with the last change.
+        assert by_frame[n] == (want if n // 7 <= 90 // 7 else set()), n
+    changes = stored.where("not is_key")
+    assert changes.count() == readings.where("ingested_at is not null").selectExpr(
+        "sensor_key", "greatest(0, ceil((unix_millis(ingested_at) - unix_millis(timestamp '2024-01-01')) / 10000)) f"
+    ).distinct().count()
+    # One key row per sensor and segment at most.
+    assert stored.where("is_key").groupBy("segment", "sensor_key").count().where("count > 1").count() == 0
+
+
+def test_film_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "event_id long, sensor_key string, ingested_at timestamp, cpm double")
+    film = replay.replay_film(none, datetime(2024, 1, 1), ties=["event_id"])
+    assert film.collect() == [] and replay.film_frames(film, [0, 5], 300).collect() == []
