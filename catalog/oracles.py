@@ -327,27 +327,41 @@ select channel, '{"sensor_key":"' || sensor_key || '","captured_at":' || capture
 qualify row_number() over (partition by geohash order by w_end desc) = 1 and w_end > {AS_OF} - interval 300 seconds""",
     "valid_cells": BASE + _cells() + """select epoch_us(w) as window_start, geohash, "count", level from cells
 where "count" % 3 <> 2 and geohash >= '9'""",
-    "snapshot_messages": BASE + _cells() + _RANKED + f""", newest as (
+    "snapshot_messages": BASE + _cells() + _RANKED
+    + ", points as (select latitude as lat, longitude as lon from clean union select cell_lat, cell_lon from cells)"
+    + _PLACES + _nearest("points") + f""", newest as (
  select * from enr qualify row_number() over (partition by sensor_key order by captured_at desc, {ARRIVAL}) = 1),
-shown as (select * from newest where arrival_ts > {AS_OF} - interval 43200 seconds),
-board as (select * from cells qualify row_number() over (partition by geohash order by w_end desc) = 1
- and w_end > {AS_OF} - interval 300 seconds),
+shown as (
+ select s.*, l.city, l.country from newest s join labelled l on lat = latitude and lon = longitude
+ where arrival_ts > {AS_OF} - interval 43200 seconds),
+board as (
+ select c.*, l.city, l.country
+ from (select * from cells qualify row_number() over (partition by geohash order by w_end desc) = 1
+  and w_end > {AS_OF} - interval 300 seconds) c join labelled l on lat = cell_lat and lon = cell_lon),
 sensor_parts as (
  select cast(('0x' || substr(md5(sensor_key), 1, 8))::bigint % greatest(1, ceil((select count(*) from shown) / 5))::bigint as integer)
-  as part, sensor_key as k, '{{"sensor_key":"' || sensor_key || '","latitude":' || latitude || ',"longitude":' || longitude
-  || ',"cpm":' || cpm || ',"level":"' || level || '"}}' as item from shown),
+  as part, sensor_key as k, '{{"sensor_key":"' || sensor_key || '","captured_at":' || captured_at || ',"uploaded_at":"' || uploaded_at
+  || '","latitude":' || latitude || ',"longitude":' || longitude || ',"cpm":' || cpm || ',"level":"' || level || '","city":"' || city
+  || '","country":"' || country || '"}}' as item from shown),
 cell_parts as (
  select cast(('0x' || substr(md5(geohash), 1, 8))::bigint % greatest(1, ceil((select count(*) from board) / 5))::bigint as integer)
-  as part, geohash as k, '{{"geohash":"' || geohash || '","max_cpm":' || max_cpm || ',"count":' || "count"
-  || ',"level":"' || level || '"}}' as item from board)
+  as part, geohash as k, '{{"geohash":"' || geohash || '","cell_lat":' || cell_lat || ',"cell_lon":' || cell_lon || ',"avg_cpm":' || avg_cpm
+  || ',"max_cpm":' || max_cpm || ',"count":' || "count" || ',"level":"' || level || '","city":"' || city || '","country":"' || country
+  || '"}}' as item from board),
+listed as (
+ select w, string_agg('{{"rank":' || rank || ',"geohash":"' || geohash || '","city":"' || l.city || '","country":"' || l.country
+  || '","lat":' || cell_lat || ',"lon":' || cell_lon || ',"max_cpm":' || max_cpm || ',"avg_cpm":' || avg_cpm || ',"level":"' || level
+  || '","count":' || "count" || '}}', ',' order by rank) as items
+ from ranked join labelled l on lat = cell_lat and lon = cell_lon where rank <= 10 group by w)
 select 'map' as channel, part, '{{"points":[' || string_agg(item, ',' order by k) || ']}}' as data from sensor_parts group by part
 union all
 select 'heatmap', part, '{{"cells":[' || string_agg(item, ',' order by k) || ']}}' from cell_parts group by part
 union all
-(select 'stats', 0, '{{"max_cpm":' || max_cpm || ',"active_sensors":' || active_sensors || ',"alert_count":' || alert_count
- || ',"reading_count":' || reading_count || '}}' from ({_stats('day')}) order by window_end desc limit 1)
+(select 'stats', 0, '{{"avg_cpm":' || avg_cpm || ',"max_cpm":' || max_cpm || ',"active_sensors":' || active_sensors
+ || ',"alert_count":' || alert_count || ',"reading_count":' || reading_count || '}}' from ({_stats('day')}) order by window_end desc limit 1)
 union all
-(select 'top', 0, '{{"count":' || n || '}}' from top order by w_end desc limit 1)""",
+(select 'top', 0, '{{"count":' || n || ',"hotspots":[' || coalesce(items, '') || ']}}'
+ from top left join listed using (w) order by top.w_end desc limit 1)""",
     "ingest_rate": BASE + """select epoch_us(date_trunc('hour', arrival_ts)) as bucket, count(*) as rows,
  count(*) / 3600e0 as rows_per_second from raw group by date_trunc('hour', arrival_ts)""",
     "replay_schedule": BASE + f""", known as (

@@ -23,6 +23,7 @@ from isodose.operators import (
     heat,
     history,
     latest,
+    nearest,
     quality,
     replay,
     spikes,
@@ -148,15 +149,18 @@ def feed_union(spark, sf_dir):
 
 @query
 def snapshot_messages(spark, sf_dir):
+    """All that a new client is sent first: points, cells, current statistics and the ranked list."""
     rows = X.enriched(spark, sf_dir)
-    live_rows = filters.alive(latest.latest_per_sensor(rows), X.AS_OF, 12 * SETTINGS.sensor_ttl_seconds, "arrival_ts")
-    current = live_rows.select("sensor_key", "latitude", "longitude", "cpm", "level")
+    index, countries = nearest.PlaceIndex(X.places(spark, sf_dir)), X.countries(spark, sf_dir)
+    alive = filters.alive(latest.latest_per_sensor(rows), X.AS_OF, 12 * SETTINGS.sensor_ttl_seconds, "arrival_ts")
+    points = enrich.with_place(
+        alive.select("sensor_key", "captured_at", "uploaded_at", "latitude", "longitude", "cpm", "level"), index, countries
+    )
     cells = heat.heat_cells(rows, SETTINGS.window, SETTINGS.geohash_precision)
-    shown = heat.current_cells(cells, X.AS_OF, SETTINGS.cell_ttl_seconds)
+    shown = heat.with_cell_places(heat.current_cells(cells, X.AS_OF, SETTINGS.cell_ttl_seconds), index, countries)
     return feed.snapshot(
-        current, shown.select("geohash", "max_cpm", "count", "level"),
-        stats.global_stats(rows, SETTINGS.window).drop("avg_cpm"),
-        heat.top_hotspots(cells, SETTINGS.top_n).select("window_start", "window_end", "count"), part_size=5,
+        points, shown.drop("window_start", "window_end"), stats.global_stats(rows, SETTINGS.window),
+        heat.top_hotspots(cells, SETTINGS.top_n, index, countries), part_size=5,
     )
 
 
