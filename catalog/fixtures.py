@@ -144,3 +144,17 @@ def event_log(spark: SparkSession, sf_dir: str, path: str) -> int:
     ordered = records.repartitionByRange("timestamp").sortWithinPartitions("timestamp", "event_id")
     filelog.append_log(ordered.drop("event_id"), path, partitions=3)
     return rows.count()
+
+
+def uneven_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Readings of three sources in four micro-batches: some rows come a part late, and one source
+    is silent for a while."""
+    rows = raw(spark, sf_dir).withColumn("source", F.concat(F.lit("s"), F.col("user_id") % 3))
+    due = F.when(F.col("arrival_ts") < "2024-01-11", 0).when(F.col("arrival_ts") < "2024-01-21", 1).otherwise(2)
+    silent = (F.col("source") == "s2") & (due == 1)
+    part = F.when(silent, 2).otherwise(due + (F.col("event_id") % 11 == 3).cast("int"))
+    sent = rows.select("event_id", "arrival_ts", "source", part.alias("part"), raw_json(rows).alias("value"))
+    for number in range(4):
+        sent.where(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(folder)
+    schema = sent.drop("part").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)

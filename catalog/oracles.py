@@ -219,6 +219,23 @@ changes as (
  select * from framed
  qualify row_number() over (partition by sensor_key, frame order by arrival_ts desc, event_id desc) = 1)"""
 
+#: Rows of three sources dealt to four parts, and the watermark before each part: the slowest source's
+#: latest time less a day, sources five days behind the fastest left out.
+_LEDGER = """, due as (
+ select *, 's' || user_id % 3 as source,
+  case when arrival_ts < timestamp '2024-01-11' then 0 when arrival_ts < timestamp '2024-01-21' then 1 else 2 end as turn from enr),
+dealt as (
+ select *, case when source = 's2' and turn = 1 then 2 else turn + (event_id % 11 = 3)::int end as part from due),
+clocks as (
+ select p as part, source, max(epoch_us(arrival_ts)) as latest from dealt, (values (1), (2), (3)) v(p) where part < p group by p, source),
+marks as (
+ select part, max(mark) over (order by part) as mark from (
+  select part, min(latest) filter (where latest >= fastest - 5 * 86400000000) - 86400000000 as mark
+  from (select *, max(latest) over (partition by part) as fastest from clocks) group by part)),
+judged_rows as (
+ select d.*, mark, coalesce(epoch_us(date_trunc('day', arrival_ts) + interval 1 day) <= mark, false) as late
+ from dealt d left join marks using (part))"""
+
 _RAW_JSON = """'{"captured_time":"' || captured_time || '","uploaded_time":"' || uploaded_time || '","latitude":"' || latitude
  || '","longitude":"' || longitude || '","value":"' || value || '","unit":"' || unit
  || '","location_name":"","device_id":"' || device_id || '","md5":"' || md5
@@ -541,6 +558,10 @@ union all select 'alerts', event_id, sensor_key, captured_at, level from alerts"
 select cast(user_id as varchar) as key, count(*) as records, epoch_us(max(ts)) as latest, turn
 from events, (values (0, timestamp '2024-01-11'), (1, timestamp '2024-01-26')) t(turn, until)
 where ts <= until group by user_id, turn""",
+    "late_rows": BASE + _LEDGER + f"""
+select event_id, cast(part as integer) as batch_id, source, {_round("(mark - epoch_us(arrival_ts)) / 1e6", 3)} as late_seconds
+from judged_rows where late""",
+    "late_windows": BASE + _LEDGER + _stats("day").replace("from enr", "from judged_rows where not late"),
     "stream_global_stats": BASE + _stats("day"),
     "stream_heatmap": BASE + _cells() + _CELL_NAMES + f"""
 select {_CELL_COLUMNS}, city, country from cells join labelled on lat = cell_lat and lon = cell_lon""",

@@ -32,7 +32,7 @@ from isodose.operators import (
 from isodose.plans import feed
 from isodose.session import scratch_path
 from isodose.sources import csv, filelog, log, tables
-from isodose.streaming import keyed, live, pipeline
+from isodose.streaming import keyed, late, live, pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -736,3 +736,25 @@ def log_paced(spark, sf_dir):
         read.groupBy("key").agg(F.count(F.lit(1)).alias("records"), F.max("arrival_ts").alias("latest")).write.parquet(place)
         stages.append(spark.read.parquet(place).withColumn("turn", F.lit(turn)))
     return stages[0].unionByName(stages[1])
+
+
+# ---------------------------------------------------------------- late rows, sources of different pace
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> late.WindowLedger:
+    path = scratch_path(spark, "ledger")
+    messages = X.uneven_stream(spark, sf_dir, f"{path}/messages")
+    rows = pipeline.enriched_stream(messages, SETTINGS, ("arrival_ts", "event_id", "source"))
+    ledger = late.WindowLedger(f"{path}/out", SETTINGS, lateness_seconds=86_400.0, idle_seconds=5 * 86_400.0)
+    late.start_windows(rows, ledger, available_now=True).awaitTermination()
+    return ledger
+
+
+@query
+def late_rows(spark, sf_dir):
+    return _ledger(spark, sf_dir).read_late(spark).select("event_id", "batch_id", "source", round_exact(F.col("late_seconds"), 3).alias("late_seconds"))
+
+
+@query
+def late_windows(spark, sf_dir):
+    return _ledger(spark, sf_dir).read(spark)
