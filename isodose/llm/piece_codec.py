@@ -24,7 +24,7 @@ from .common import batches, pick
 
 _SPACE = "▁"
 #: Documents encoded together.
-BATCH = 1500
+BATCH = 600
 
 
 def _read_model(path: str) -> tuple[list[str], list[int]]:
