@@ -32,7 +32,7 @@ from isodose.operators import (
 from isodose.plans import feed
 from isodose.session import scratch_path
 from isodose.sources import csv, filelog, log, tables
-from isodose.streaming import keyed, late, live, pipeline
+from isodose.streaming import keyed, late, live, pipeline, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -358,6 +358,16 @@ def merged_stats(spark, sf_dir):
     return stats.merge_stats(partials, "1 day")
 
 
+@query
+def merged_stats_sketched(spark, sf_dir):
+    """Days from hourly sketches; the estimate is held against five standard errors of the exact count."""
+    rows = X.enriched(spark, sf_dir)
+    merged = stats.merge_sketched(stats.sketch_partials(rows, "1 hour"), "1 day")
+    exact = stats.merge_stats(stats.stats_partials(rows, "1 hour"), "1 day").select("window_start", F.col("active_sensors").alias("sensors"))
+    apart = F.abs(F.col("active_sensors") - F.col("sensors")) <= F.greatest(F.lit(1.0), 5 * 0.016 * F.col("sensors"))
+    return merged.join(exact, "window_start").withColumn("close", apart).drop("active_sensors")
+
+
 @query
 def heatmap(spark, sf_dir):
     return heat.heat_cells(X.enriched(spark, sf_dir), SETTINGS.window, SETTINGS.geohash_precision)
@@ -758,3 +768,20 @@ def late_rows(spark, sf_dir):
 @query
 def late_windows(spark, sf_dir):
     return _ledger(spark, sf_dir).read(spark)
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """Rows of each trigger as the progress table has them."""
+    path = scratch_path(spark, "progress")
+    messages = X.event_stream(spark, sf_dir, f"{path}/messages")
+    listener = progress.ProgressLog(spark, f"{path}/progress", every=2)
+    spark.streams.addListener(listener)
+    try:
+        out = pipeline.start_parquet(pipeline.enriched_stream(messages, SETTINGS), f"{path}/out", available_now=True)
+        out.awaitTermination()
+        listener.wait_ended(str(out.runId))
+    finally:
+        spark.streams.removeListener(listener)
+    told = progress.read_progress(spark, f"{path}/progress").where((F.col("run_id") == str(out.runId)) & (F.col("rows") > 0))
+    return told.select("batch_id", "rows", "late_rows")
