@@ -565,6 +565,7 @@ from judged_rows where late""",
     "merged_stats_sketched": BASE + f"select s.* exclude (active_sensors), active_sensors as sensors, true as close from ({_stats('day')}) s",
     "stream_progress": """select case when ts < timestamp '2024-01-11' then 0 when ts < timestamp '2024-01-21' then 1 else 2 end as batch_id,
  count(*) as rows, 0 as late_rows from events group by 1""",
+    "stream_merged_windows": BASE + _stats("day"),
     "stream_global_stats": BASE + _stats("day"),
     "stream_heatmap": BASE + _cells() + _CELL_NAMES + f"""
 select {_CELL_COLUMNS}, city, country from cells join labelled on lat = cell_lat and lon = cell_lon""",

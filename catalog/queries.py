@@ -625,6 +625,12 @@ def stream_global_stats(spark, sf_dir):
     return _live(spark, sf_dir, "stats", places=None).read(spark, "stats")
 
 
+@query
+def stream_merged_windows(spark, sf_dir):
+    """The statistics of :func:`stream_global_stats`, with closed batches merged on the way."""
+    return _live(spark, sf_dir, "stats", places=None, merge_every=1).read(spark, "stats")
+
+
 @query
 def stream_heatmap(spark, sf_dir):
     return _live(spark, sf_dir, "heatmap").read(spark, "heatmap")

@@ -10,8 +10,10 @@ batch, which a repeated batch replaces.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ from isodose.operators import alerts, enrich, heat, latest, spikes
 from isodose.operators.nearest import PlaceIndex
 from isodose.operators.stats import merge_stats, stats_partials, window_bounds
 from isodose.schemas import DEFAULTS, Settings
-from isodose.session import get_note, put_note, remove
+from isodose.session import get_note, list_dir, put_note, remove
 from isodose.sources import tables
 
 KEYED = ("current", "alerts", "spikes")
@@ -39,7 +41,9 @@ class LiveTables:
     ``threshold`` is asked at the start of every new batch, so a change takes effect without a
     restart, while a repeated batch keeps the one it had.  ``places`` and ``countries`` name each new sensor once.  A sensor silent for
     ``ttl_seconds`` of arrival time starts afresh.  ``readings_path`` and ``alerts_path`` are
-    history tables to keep up to date.  ``order`` must identify a row within its sensor; a
+    history tables to keep up to date.  With ``merge_every``, the partial results of closed batches are
+    merged into one part each time so many batches are through, so reading does not depend on how
+    many there were.  ``order`` must identify a row within its sensor; a
     message log adds its partition and offset.
     """
 
@@ -54,6 +58,7 @@ class LiveTables:
     readings_path: str | None = None
     alerts_path: str | None = None
     time_col: str = "arrival_ts"
+    merge_every: int | None = None
 
     # ------------------------------------------------------------ writing
 
@@ -76,6 +81,8 @@ class LiveTables:
         if self.readings_path:
             tables.overwrite_batch(tables.as_readings(_with_names(rows)), self.readings_path, batch_id)
         self._forget(rows.sparkSession, batch_id)
+        if self.merge_every and batch_id and batch_id % self.merge_every == 0:
+            self.merge(rows.sparkSession, batch_id - 2)
 
     def _limit(self, spark: SparkSession, batch_id: int) -> float:
         """The threshold of a batch, asked once and noted: a repeated batch gets the same levels."""
@@ -189,20 +196,88 @@ class LiveTables:
         located = with_geohash(rows.select(self.time_col, "latitude", "longitude", "cpm", "level"), self.settings.geohash_precision)
         return located.groupBy(F.window(self.time_col, self.settings.window), "geohash").agg(*_cell_sums())
 
+    # ------------------------------------------------------------ merging
+
+    def merge(self, spark: SparkSession, last: int) -> None:
+        """Merge the partial results of all batches up to ``last`` into one part per product.
+
+        ``last`` must lie behind every batch that may still be repeated: the one before the batch
+        that is being written is safe.  Safe to be cut off anywhere and to be called again.
+        """
+        for product in WINDOWED:
+            if product in self.only:
+                for _ in self._merging(spark, product, last):
+                    pass
+
+    def _merging(self, spark: SparkSession, product: str, last: int) -> Iterator[None]:
+        """The steps of a merge: a new part, the pointer that readers follow, then the old ones go."""
+        before, parts = self._merged(spark, product), f"{self.path}/merged-{product}"
+        if last > before:
+            # The new part has a fresh name: one that was cut off earlier is never taken for it.
+            name = f"part-{last}-{uuid.uuid4().hex[:8]}"
+            self._fold(product, self._partials(spark, product, last)).write.parquet(f"{parts}/{name}")
+            yield
+            put_note(spark, f"{parts}/_pointers/{last:012d}", name)
+            yield
+        pointers = self._pointers(spark, product)
+        for old in pointers[:-1]:
+            remove(spark, f"{parts}/_pointers/{old}")
+            yield
+        if not pointers:
+            return
+        kept = get_note(spark, f"{parts}/_pointers/{pointers[-1]}")
+        for part in list_dir(spark, parts):
+            if part.startswith("part-") and part != kept:
+                remove(spark, f"{parts}/{part}")
+                yield
+        for folder in list_dir(spark, f"{self.path}/{product}"):
+            if folder.startswith("batch_id=") and int(folder.split("=")[1]) <= int(pointers[-1]):
+                remove(spark, f"{self.path}/{product}/{folder}")
+                yield
+
+    def _pointers(self, spark: SparkSession, product: str) -> list[str]:
+        return [n for n in list_dir(spark, f"{self.path}/merged-{product}/_pointers") if n.isdigit()]
+
+    def _merged(self, spark: SparkSession, product: str) -> int:
+        """The last batch that is in the merged part; -1 if there is none."""
+        pointers = self._pointers(spark, product)
+        return int(pointers[-1]) if pointers else -1
+
+    def _fold(self, product: str, partials: DataFrame) -> DataFrame:
+        """Partial results of the same kind, one row per key."""
+        if product == "stats":
+            sums = [F.sum("total").cast("decimal(38,6)").alias("total"), F.max("max_cpm").alias("max_cpm")]
+            sums += [F.sum(n).alias(n) for n in ("alert_count", "reading_count")]
+            return partials.groupBy("window_start", "window_end", "sensor_key").agg(*sums)
+        maxima = [F.max(n).alias(n) for n in ("cell_lat", "cell_lon", "max_cpm", "_worst")]
+        sums = [F.sum("total").cast("decimal(38,6)").alias("total"), F.sum("rows").alias("rows")]
+        return partials.groupBy("window", "geohash").agg(*maxima, *sums)
+
+    def _partials(self, spark: SparkSession, product: str, last: int | None = None) -> DataFrame:
+        """Partial results of all batches (up to ``last``): the merged part and the batches behind it."""
+        before, parts = self._merged(spark, product), f"{self.path}/merged-{product}"
+        folders = [n for n in list_dir(spark, f"{self.path}/{product}") if n.startswith("batch_id=")]
+        numbers = sorted(n for n in (int(f.split("=")[1]) for f in folders) if n > before and (last is None or n <= last))
+        found = [f"{self.path}/{product}/batch_id={n}" for n in numbers]
+        total = F.col("total").cast("decimal(38,6)")
+        frames = [spark.read.parquet(*found).withColumn("total", total)] if found else []
+        if before >= 0:
+            frames.append(spark.read.parquet(f"{parts}/{get_note(spark, f'{parts}/_pointers/{before:012d}')}").withColumn("total", total))
+        return reduce(DataFrame.unionByName, frames)
+
     # ------------------------------------------------------------ reading
 
     def read(self, spark: SparkSession, product: str) -> DataFrame:
         """A product as it stands: ``top`` is ranked from the cells, windows include open ones."""
         if product == "top":
-            cells = merge_cell_partials(spark.read.parquet(f"{self.path}/heatmap").drop("batch_id"))
+            cells = merge_cell_partials(self._partials(spark, "heatmap"))
             return heat.top_hotspots(cells, self.settings.top_n, None if self.places is None else self._index(), self.countries)
-        stored = spark.read.parquet(f"{self.path}/{product}").drop("batch_id")
         if product == "stats":
-            return merge_stats(stored, self.settings.window)
+            return merge_stats(self._partials(spark, "stats"), self.settings.window)
         if product == "heatmap":
-            cells = merge_cell_partials(stored)
+            cells = merge_cell_partials(self._partials(spark, "heatmap"))
             return cells if self.places is None else heat.with_cell_places(cells, self._index(), self.countries)
-        return stored
+        return spark.read.parquet(f"{self.path}/{product}").drop("batch_id")
 
 
 def _with_names(rows: DataFrame) -> DataFrame:

@@ -118,6 +118,46 @@ def test_repeated_batch_changes_nothing(spark, tmp_path, batch):
     assert next(limits) == 10.0  # not asked a third time
 
 
+def _tables_of(spark, path, batch, cuts, **options):
+    """The window products after the batch was written in so many pieces."""
+    out = live.LiveTables(str(path), SETTINGS, order=ORDER, only=("stats", "heatmap"), **options)
+    clean = batch.drop("level", "sensor_key")
+    step = 600 // cuts
+    for k in range(cuts):
+        low, high = (F.lit(START + timedelta(seconds=s)) for s in (k * step, (k + 1) * step if k < cuts - 1 else 10**6))
+        out.write(clean.where((F.col("arrival_ts") >= low) & (F.col("arrival_ts") < high)), k)
+    return out
+
+
+def test_merged_parts_read_the_same(spark, tmp_path, batch):
+    out = _tables_of(spark, tmp_path, batch, 6, merge_every=2)
+    for product in ("stats", "heatmap", "top"):
+        assert as_set(out.read(spark, product)) == as_set(EXPECTED[product](batch)), product
+    # Batches 0 to 2 are in one part; the others are still apart.
+    assert sorted(p.name for p in (tmp_path / "stats").iterdir()) == ["batch_id=3", "batch_id=4", "batch_id=5"]
+    assert len([p for p in (tmp_path / "merged-stats").iterdir() if p.name.startswith("part")]) == 1
+    out.merge(spark, 5)
+    out.merge(spark, 5)
+    assert not list((tmp_path / "stats").iterdir())
+    assert as_set(out.read(spark, "stats")) == as_set(EXPECTED["stats"](batch))
+
+
+@pytest.mark.parametrize("done", range(8))
+def test_merge_cut_off_anywhere(spark, tmp_path, batch, done):
+    """After any number of steps of a second merge the readers see every row once."""
+    out = _tables_of(spark, tmp_path, batch, 4)
+    out.merge(spark, 0)
+    steps = out._merging(spark, "stats", 2)
+    made = sum(1 for _ in zip(range(done), steps, strict=False))
+    assert made == min(done, 6)  # part, pointer, old pointer, old part, two batches
+    want = as_set(EXPECTED["stats"](batch))
+    assert as_set(out.read(spark, "stats")) == want
+    out.merge(spark, 2)
+    assert as_set(out.read(spark, "stats")) == want
+    assert [p.name for p in (tmp_path / "stats").iterdir()] == ["batch_id=3"]
+    assert len([p for p in (tmp_path / "merged-stats").iterdir() if p.name.startswith("part")]) == 1
+
+
 READY = "arrival_ts timestamp, captured_at long, latitude double, longitude double, cpm double, unit string"
 
 
