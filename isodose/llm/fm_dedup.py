@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_list, block_of, blocks_for, mix, pick, starts_of, text_bytes, word_ids
+from .common import binary_list, block_of, blocks_for, mix, pick, starts_of, text_bytes
 from .exchange import ask_and_answer, bucket_bounds, pack, unpack
 
 ANCHOR = 8
 #: Anchors with more segments than this are split into windows.
 SPLIT = 20_000
+#: The lowest 0 to 63 bits of a word.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
 _SHARD = np.uint64(0x5A4D5A4D5A4D5A4F)
 _WHOLE = np.uint64(0x3C6EF372FE94F82B)
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -43,31 +46,27 @@ class _Block:
     """Words of a block's texts as 64-bit codes, its windows and their segments."""
 
     def __init__(self, texts: list[bytes | None], length: int):
-        words, ids, self.lengths = word_ids(texts, lower=False)
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
-        self.codes = hashes[ids]
-        self.starts = starts_of(self.lengths)
+        lengths = np.zeros(len(texts), np.int64)
+        parts = [np.zeros(0, np.uint64)]
+        for i, text in enumerate(texts):
+            if text:
+                words = text.split()
+                lengths[i] = len(words)
+                parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        self.codes = np.concatenate(parts)
         self.length = length
         size = len(self.codes) - length + 1
-        owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         if size <= 0 or not (owner[:size] == owner[length - 1 :]).any():
             self.first = self.last = np.zeros(0, np.int64)
             self.anchor = np.zeros(0, np.uint64)
             return
-        grams = np.full(len(self.codes) - ANCHOR + 1, np.uint64(ANCHOR))
-        for k in range(ANCHOR):
-            grams = mix(grams, self.codes[k : len(grams) + k])
-        reach = length - ANCHOR + 1
-        least = grams[:size].copy()
-        for k in range(1, reach):
-            np.minimum(least, grams[k : size + k], out=least)
-        place = np.zeros(size, np.int64)
-        for k in range(reach - 1, -1, -1):
-            np.copyto(place, np.arange(k, size + k), where=grams[k : size + k] == least)
+        least, place = _least(_grams(self.codes), length - ANCHOR + 1)
         whole = owner[:size] == owner[length - 1 :]
+        moved = place[1:] != place[:-1]
         # A segment starts where the anchor's place changes or the window before it is not whole.
-        begin = whole & np.r_[True, (place[1:] != place[:-1]) | ~whole[:-1]]
-        end = whole & np.r_[(place[1:] != place[:-1]) | ~whole[1:], True]
+        begin = whole & np.r_[True, moved | ~whole[:-1]]
+        end = whole & np.r_[moved | ~whole[1:], True]
         self.first, self.last = np.flatnonzero(begin), np.flatnonzero(end)
         self.anchor = mix(least[self.first], _SHARD)
 
@@ -87,6 +86,28 @@ class _Block:
             return mix((sums[first + words] - sums[first]) * back[first], words.astype(np.uint64))
 
 
+def _grams(codes: np.ndarray) -> np.ndarray:
+    """Hash of the ``ANCHOR`` words from each place on, from hashes of halves."""
+    width = 1
+    while width < ANCHOR:
+        codes = mix(codes[:-width], codes[width:])
+        width *= 2
+    return codes
+
+
+def _least(values: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least of ``reach`` values from each place on, and where it first stands; by doubled widths."""
+    place = np.arange(len(values), dtype=np.int32)
+    width = 1
+    while width < reach:
+        step = min(width, reach - width)
+        later = values[step:] < values[:-step]
+        place = np.where(later, place[step:], place[:-step])
+        values = np.minimum(values[:-step], values[step:])
+        width += step
+    return values, place
+
+
 def _within(counts: np.ndarray) -> np.ndarray:
     """0, 1, .. count - 1 for each count, in one row."""
     return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -105,40 +126,59 @@ class WaveletMatrix:
         for bit in range(self._bits - 1, -1, -1):
             ones = (symbols >> bit & 1).astype(bool)
             packed = np.packbits(np.r_[ones, np.zeros(-len(ones) % 64 + 64, bool)], bitorder="little").view(np.uint64)
-            before = np.r_[0, np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1]].astype(np.int32)
+            before = np.r_[0, np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1]]
             self._levels.append((bit, packed, before, int(len(ones) - ones.sum())))
             symbols = np.concatenate([symbols[~ones], symbols[ones]])
+        # Equal symbols now stand together, in the order of their bits read backward.
+        order = np.zeros(1, np.int64)
+        for _ in range(self._bits):
+            order = np.concatenate([2 * order, 2 * order + 1])
+        counts = np.bincount(symbols, minlength=len(order))
+        self._start = np.empty(len(order), np.int64)
+        self._start[order] = np.cumsum(counts[order]) - counts[order]
 
     def ranks(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How often each symbol occurs before ``low`` and before ``high``."""
         n = len(symbol)
-        at, start = np.concatenate([low, high]), np.zeros(n, np.int64)
+        places, both = np.concatenate([low, high]), np.concatenate([symbol, symbol])
         for bit, packed, before, zeros in self._levels:
-            places = np.concatenate([at, start])
-            word, rest = places >> 6, (places & 63).astype(np.uint64)
-            ones = before[word] + np.bitwise_count(packed[word] & ((np.uint64(1) << rest) - np.uint64(1)))
-            up = symbol >> bit & 1 == 1
-            up3 = np.concatenate([up, up, up])
-            places = np.where(up3, zeros + ones, places - ones)
-            at, start = places[: 2 * n], places[2 * n :]
-        return at[:n] - start, at[n:] - start
+            word = places >> 6
+            ones = before.take(word) + np.bitwise_count(packed.take(word) & _BELOW.take(places & 63))
+            places = np.where(both & (1 << bit), ones + zeros, places - ones)
+        start = self._start[symbol]
+        return places[:n] - start, places[n:] - start
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Order of all suffixes by doubling; ends once every suffix has a rank of its own."""
-    rank = np.unique(text, return_inverse=True)[1].reshape(-1).astype(np.int64)
-    size, step = len(text), 1
-    while True:
-        key = rank * (size + 1)
-        key[: size - step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.r_[False, sorted_key[1:] != sorted_key[:-1]]
-        rank = np.empty(size, np.int64)
-        rank[order] = np.cumsum(new)
-        if size < 2 or new[1:].all() or step >= size:
-            return order
+    """Order of all suffixes of small numbers, by doubling; only suffixes that still tie are sorted again.
+
+    The first sort takes as many numbers as a key holds.  A rank is where a suffix's ties start.
+    """
+    size = len(text)
+    bits = int(text.max() + 1).bit_length() if size else 1
+    step = max(1, min(63 // bits, size))
+    key = np.zeros(size, np.int64)
+    for k in range(step):  # behind the end: 0
+        key <<= bits
+        key[: size - k] |= text[k:] + 1
+    order = np.argsort(key)
+    at, rank = np.arange(size), np.empty(size, np.int64)
+    tied, key = order, key[order]
+    while len(at):
+        new = np.r_[True, key[1:] != key[:-1]]
+        rank[tied] = np.repeat(at[new], np.diff(np.r_[np.flatnonzero(new), len(at)]))
+        alike = ~(new & np.r_[new[1:], True])
+        at = at[alike]
+        tied = tied[alike]
+        behind = tied + step
+        key = rank[tied] * (size + 1)
+        inside = behind < size
+        key[inside] += rank[behind[inside]] + 1
+        by_key = np.argsort(key)
+        tied, key = tied[by_key], key[by_key]
+        order[at] = tied
         step *= 2
+    return order
 
 
 class FMIndex:
@@ -175,8 +215,8 @@ def repeated_windows(index: FMIndex, symbols: np.ndarray, at: np.ndarray, length
 
     ``left..right`` are the windows not yet decided.  A search backward from the end of the last
     one either reaches past that window's start, deciding all windows on its way, or strikes it
-    out.  After a report one search from the end of the first window strikes out, where it
-    fails, all windows that hold the failing pattern.
+    out.  The next search starts from the end of the first window and strikes out, where it
+    fails, all windows that hold the failing pattern: with one changed word in all of them, all.
     """
     n = len(lengths)
     masks = np.zeros(n, np.uint64)
@@ -209,7 +249,7 @@ def repeated_windows(index: FMIndex, symbols: np.ndarray, at: np.ndarray, length
             # From the first window: it is decided, and where it failed all that hold the failure.
             f = done[~back]
             left[f] = np.where(full[~back], left[f] + 1, match[~back])
-            from_left[done] = back & full
+            from_left[done] = back
             end[done] = np.where(from_left[done], left[done], right[done]) + length - 1
             place[done], low[done], high[done] = end[done], 0, index.size
             stay = np.ones(len(a), bool)
@@ -319,26 +359,35 @@ def _cut(text: bytes, removed: np.ndarray) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def _remove(block: _Block, texts: list[bytes | None], answers: list[bytes], whole_text: bool) -> tuple[list, list, list]:
-    removed = np.zeros(len(block.codes), bool)
+def _remove(texts: list[bytes | None], answers: list[bytes], whole_text: bool) -> tuple[np.ndarray, list, list, list]:
+    """Words per text, how many go, and the digests of what is left or the texts without them.
+
+    Answers name words by their place in the block: neither codes nor windows are needed again.
+    """
+    # A text of n bytes has at most (n + 1) // 2 words.
+    removed = np.zeros(sum((len(text or b"") + 1) // 2 for text in texts), bool)
     for note in answers:
         if note:
             starts, masks = unpack(note, np.uint32, np.uint64)
             for k in range(64):
                 removed[starts[masks >> np.uint64(k) & np.uint64(1) > 0].astype(np.int64) + k] = True
+    lengths = np.zeros(len(texts), np.int64)
     lost, digests, out = [], [], []
-    for text, a, b in zip(texts, block.starts, block.starts[1:], strict=False):
-        mine = removed[a:b]
-        n = int(mine.sum())
+    at = 0
+    for i, text in enumerate(texts):
+        words = (text or b"").split()
+        lengths[i] = len(words)
+        mine = removed[at : at + len(words)]
+        at += len(words)
+        n = int(np.count_nonzero(mine))
         lost.append(n)
         if whole_text:
             out.append(_cut(text, mine) if n else text)
         else:
-            words = (text or b"").split()
             if n:
-                words = [w for w, gone in zip(words, mine.tolist(), strict=True) if not gone]
+                words = compress(words, (~mine).tolist())
             digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
-    return lost, digests, out
+    return lengths, lost, digests, out
 
 
 def deduplicate(
@@ -376,11 +425,9 @@ def deduplicate(
         return _segments(_Block(binary_list(table["text"]), length), answers, blocks)
 
     def finish(table, answers):
-        texts = binary_list(table["text"])
-        block = _Block(texts, length)
-        lost, digests, out = _remove(block, texts, answers, whole_text)
+        lengths, lost, digests, out = _remove(binary_list(table["text"]), answers, whole_text)
         last = pa.array(out, pa.binary()).cast(pa.string()) if whole_text else pa.array(digests, pa.string())
-        columns = [table["ident"], pa.array(block.lengths), pa.array(lost, pa.int64()), last, *(table[n] for n in names)]
+        columns = [table["ident"], pa.array(lengths), pa.array(lost, pa.int64()), last, *(table[n] for n in names)]
         return pa.table(columns, names=["ident", "n_words", "n_removed", "kept", *names])
 
     fields = {f.name: f.dataType.simpleString() for f in rows.schema}
