@@ -40,11 +40,16 @@ class Ranker(NamedTuple):
     scale: float
 
     def score(self, features: np.ndarray) -> np.ndarray:
-        raw = ((features - np.array(self.mean)) / np.array(self.spread)) @ np.array(self.weights)
+        raw = _linear((features - np.array(self.mean)) / np.array(self.spread), np.array(self.weights))
         margin = np.clip(self.scale * (raw - self.threshold), -40, 40)
         return 1 / (1 + np.exp(-margin) * (1 - CUT) / CUT)
 
 
+def _linear(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted sum of each row.  A matrix product may add a row up in another order at another place."""
+    return np.ascontiguousarray(x * weights).sum(axis=1)
+
+
 def features(text: bytes | None) -> list[float]:
     """Fixed-length description of a whole text; null counts as empty."""
     text = text or b""
@@ -130,7 +135,7 @@ def fit(
     pairs = [(np.resize(good, size), np.resize(np.roll(bad, k), size)) for k in range(partners)]
     better, worse = (np.concatenate(side) for side in zip(*pairs, strict=True))
     w = _fit_pairs(z, better, worse, l2, 30)
-    raw = z @ w
+    raw = _linear(z, w)
     levels = np.quantile(raw, np.linspace(0, 1, 4001))
     gain = [(raw[y == 1] >= t).mean() + (raw[y == 0] < t).mean() for t in levels]
     best = np.flatnonzero(np.isclose(gain, max(gain)))

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import words
 from pyspark.sql import functions as F
@@ -36,6 +37,17 @@ def test_ranking_edges(spark, make_docs, edge_rows):
     assert bradley_terry.score(make_docs([]), bradley_terry.fit(empty)).collect() == []
 
 
+def test_equal_texts_score_alike_at_any_place():
+    rng = random.Random(41)
+    x = np.array([bradley_terry.features(" ".join(words(rng, rng.randint(0, 60))).encode()) for _ in range(23)])
+    weights = [rng.uniform(-1, 1) for _ in x[0]]
+    ranker = bradley_terry.Ranker([rng.uniform(0, 0.5) for _ in x[0]], [rng.uniform(0.1, 0.4) for _ in x[0]], weights, 0.1, 1.0)
+    alone = [ranker.score(x[i : i + 1])[0] for i in range(len(x))]
+    for start in range(len(x)):
+        for end in range(start + 1, len(x) + 1):
+            assert ranker.score(x[start:end]).tolist() == alone[start:end]
+
+
 def brute_lm(rows, order, strength):
     """Scores by the recursive definition."""
     counts = [Counter() for _ in range(order + 1)]
