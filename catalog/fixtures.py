@@ -132,18 +132,18 @@ def stream_threshold():
 
 def event_log(spark: SparkSession, sf_dir: str, path: str) -> int:
     """The events as records of the raw topic, keyed by user and in order of time; how many."""
-    rows = raw(spark, sf_dir)
+    # Put in order before the texts are made, so that only the events themselves are moved.
+    ordered = table(spark, sf_dir, "events").repartitionByRange("ts").sortWithinPartitions("ts", "event_id")
+    rows = as_raw(ordered)
     records = rows.select(
         F.lit(log.TOPICS["raw"]).alias("topic"),
         F.col("user_id").cast("string").alias("key"),
         # The record brings its event along, which arrives in the text like any other field.
         F.concat(F.lit('{"event_id":"'), F.col("event_id"), F.lit('",'), F.substr(raw_json(rows), F.lit(2))).alias("value"),
         F.col("arrival_ts").alias("timestamp"),
-        "event_id",
     )
-    ordered = records.repartitionByRange("timestamp").sortWithinPartitions("timestamp", "event_id")
-    filelog.append_log(ordered.drop("event_id"), path, partitions=3)
-    return rows.count()
+    filelog.append_log(records, path, partitions=3)
+    return table(spark, sf_dir, "events").count()
 
 
 def uneven_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:

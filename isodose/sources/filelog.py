@@ -1,8 +1,8 @@
 """A message log in shared files, as a Spark data source and sink (``filelog``).
 
 A topic has partitions, a partition has segments: immutable Parquet files named after their first
-offset and number of records, so offsets are known from names alone.  The stream reader plans one
-input partition per stretch of a segment; how much a trigger may read is asked anew each time from
+offset and number of records, so offsets are known from names alone.  The readers deal stretches of
+segments over tasks in shares of like size; how much a trigger may read is asked anew each time from
 a control record, which a running query follows at once.  The stream writer publishes a batch as a
 whole: tasks write staged segments, the commit notes which segment gets which offsets and then moves
 them, so a batch that is repeated, or was cut off between any two steps, appears exactly once.
@@ -20,6 +20,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
@@ -40,8 +41,12 @@ from pyspark.sql.streaming import DataStreamWriter
 FORMAT = "filelog"
 SCHEMA = "topic string, partition int, offset long, key string, value string, timestamp timestamp"
 _RECORD = pa.schema([("key", pa.string()), ("value", pa.string()), ("timestamp", pa.timestamp("us", "UTC"))])
-#: Rows handed to Spark at a time.
+#: Rows handed to Spark at a time, and kept per segment before they are written.
 _BATCH = 10_000
+#: Bytes kept per segment before they are written.
+_KEPT = 4 << 20
+#: Records that one task reads, at most and, if there are as many, at least; and tasks between these.
+_MOST, _LEAST, _TASKS = 200_000, 10_000, 32
 #: Commit notes kept per writer; only the last batch is ever repeated.
 _NOTES = 16
 
@@ -115,20 +120,56 @@ class Log:
 # ------------------------------------------------------------------ reading
 
 
-class Stretch(InputPartition):
+@dataclass(frozen=True)
+class Stretch:
     """Records ``skip .. skip + take - 1`` of a segment."""
 
-    def __init__(self, segment: Segment, skip: int, take: int):
-        self.segment, self.skip, self.take = segment, skip, take
+    segment: Segment
+    skip: int
+    take: int
+
+
+class Share(InputPartition):
+    """What one task reads, in this order."""
+
+    def __init__(self, stretches: list[Stretch]):
+        self.stretches = stretches
 
 
-def _read(path: str, part: Stretch | None) -> Iterator[pa.RecordBatch]:
-    if part is None:  # Spark's stand-in for no partitions at all
+def _shares(stretches: Sequence[Stretch]) -> list[Share]:
+    """Stretches cut and put together to shares of like size, without a change of order."""
+    total = sum(s.take for s in stretches)
+    size = min(_MOST, max(_LEAST, -(-total // _TASKS)))
+    out: list[list[Stretch]] = []
+    room = 0
+    for s in stretches:
+        skip, left = s.skip, s.take
+        while left:
+            if not room:
+                out.append([])
+                room = size
+            take = min(left, room)
+            out[-1].append(Stretch(s.segment, skip, take))
+            skip, left, room = skip + take, left - take, room - take
+    return [Share(part) for part in out]
+
+
+def _read(path: str, share: Share | None) -> Iterator[pa.RecordBatch]:
+    if share is None:  # Spark's stand-in for no partitions at all
         return
     files, _ = _open(path)
-    segment, at, left = part.segment, 0, part.take
+    for part in share.stretches:
+        yield from _read_stretch(files, part)
+
+
+def _read_stretch(files: fs.FileSystem, part: Stretch) -> Iterator[pa.RecordBatch]:
+    segment, left = part.segment, part.take
     with files.open_input_file(segment.path) as data:
-        for batch in pq.ParquetFile(data).iter_batches(_BATCH):
+        file = pq.ParquetFile(data)
+        ends = np.cumsum([file.metadata.row_group(i).num_rows for i in range(file.num_row_groups)])
+        groups = np.flatnonzero((ends > part.skip) & (np.r_[0, ends[:-1]] < part.skip + part.take)).tolist()
+        at = int(ends[groups[0] - 1]) if groups and groups[0] else 0
+        for batch in file.iter_batches(_BATCH, groups):
             skip = max(0, part.skip - at)
             rows = batch.slice(skip, min(left, max(0, batch.num_rows - skip)))
             if rows.num_rows:
@@ -136,9 +177,9 @@ def _read(path: str, part: Stretch | None) -> Iterator[pa.RecordBatch]:
                 n = rows.num_rows
                 yield pa.record_batch(
                     [
-                        pa.array([segment.topic] * n, pa.string()),
-                        pa.array([segment.partition] * n, pa.int32()),
-                        pa.array(range(first, first + n), pa.int64()),
+                        pa.repeat(segment.topic, n),
+                        pa.repeat(pa.scalar(segment.partition, pa.int32()), n),
+                        pa.array(np.arange(first, first + n)),
                         *rows.columns,
                     ],
                     names=["topic", "partition", "offset", "key", "value", "timestamp"],
@@ -166,12 +207,12 @@ class LogReader(DataSourceReader):
     def __init__(self, options: _Options):
         self.options = options
 
-    def partitions(self) -> Sequence[Stretch]:
+    def partitions(self) -> Sequence[Share]:
         log = Log(self.options.path)
         topics = self.options.topics or log.topics()
-        return [Stretch(s, 0, s.count) for t in topics for p in log.partitions(t) for s in log.segments(t, p)]
+        return _shares([Stretch(s, 0, s.count) for t in topics for p in log.partitions(t) for s in log.segments(t, p)])
 
-    def read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
         return _read(self.options.path, partition)
 
 
@@ -248,7 +289,7 @@ class LogStreamReader(DataSourceStreamReader):
                 break
         return end
 
-    def partitions(self, start: dict, end: dict) -> Sequence[Stretch]:
+    def partitions(self, start: dict, end: dict) -> Sequence[Share]:
         log, out = Log(self.options.path), []
         for name in sorted(end):
             topic, partition = name.rsplit("/", 1)
@@ -261,9 +302,9 @@ class LogStreamReader(DataSourceStreamReader):
         if self.options.progress:
             files, path = _open(self.options.progress)
             _put(files, path, self._cursor)
-        return out
+        return _shares(out)
 
-    def read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
         return _read(self.options.path, partition)
 
     def commit(self, end: dict) -> None:
@@ -280,6 +321,39 @@ class Staged(WriterCommitMessage):
     parts: list[tuple[str, int, int, str]]
 
 
+class _Staging:
+    """A segment as it is written: rows are kept until they make a row group."""
+
+    def __init__(self, files: fs.FileSystem, path: str):
+        self.path, self.count = path, 0
+        # Values hardly ever repeat.
+        self.file = pq.ParquetWriter(path, _RECORD, filesystem=files, use_dictionary=["key"])
+        self.kept: list[pa.Table] = []
+
+    def add(self, rows: pa.Table) -> None:
+        self.kept.append(rows)
+        self.count += rows.num_rows
+        if sum(t.num_rows for t in self.kept) >= _BATCH or sum(t.nbytes for t in self.kept) >= _KEPT:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.kept:
+            self.file.write_table(pa.concat_tables(self.kept).combine_chunks())
+            self.kept = []
+
+
+def _dealt(rows: pa.Table, partitions: int) -> Iterator[tuple[tuple[str, int], pa.Table]]:
+    """The rows of each topic and partition; a partition follows from the key, or the value if there is none."""
+    text = pc.coalesce(rows["key"], rows["value"], pa.scalar("")).combine_chunks().dictionary_encode()
+    topic = rows["topic"].combine_chunks().dictionary_encode("encode")
+    hashes = np.array([zlib.crc32(t.encode()) % partitions for t in text.dictionary.to_pylist()], np.int64)
+    place = topic.indices.to_numpy() * partitions + hashes[text.indices.to_numpy()]
+    names = topic.dictionary.to_pylist()
+    for code in np.unique(place).tolist():
+        mine = rows.filter(pa.array(place == code))
+        yield (names[code // partitions], code % partitions), mine
+
+
 class _Writer:
     def __init__(self, options: _Options):
         self.options = options
@@ -289,23 +363,19 @@ class _Writer:
         log, n = Log(self.options.path), self.options.partitions
         folder = f"{log.path}/_staging/{self.options.writer}/{self.stage}"
         log.files.create_dir(folder, recursive=True)
-        open_: dict[tuple[str, int], list] = {}
+        open_: dict[tuple[str, int], _Staging] = {}
         try:
             for batch in iterator:
-                rows = _records(batch)
-                keys = zip(rows["topic"].to_pylist(), rows["key"].to_pylist(), rows["value"].to_pylist(), strict=True)
-                place = [(t, zlib.crc32((v or "" if k is None else k).encode()) % n) for t, k, v in keys]
-                for target in sorted(set(place)):
+                for target, rows in _dealt(_records(batch), n):
                     if target not in open_:
-                        path = f"{folder}/{uuid.uuid4().hex}.parquet"
-                        open_[target] = [pq.ParquetWriter(path, _RECORD, filesystem=log.files), 0, path]
-                    mine = rows.filter(pa.array([p == target for p in place])).select(_RECORD.names)
-                    open_[target][0].write_table(mine)
-                    open_[target][1] += mine.num_rows
+                        open_[target] = _Staging(log.files, f"{folder}/{uuid.uuid4().hex}.parquet")
+                    open_[target].add(rows.select(_RECORD.names))
+            for out in open_.values():
+                out.flush()
         finally:
-            for writer, _, _ in open_.values():
-                writer.close()
-        return Staged([(t, p, count, path) for (t, p), (_, count, path) in sorted(open_.items())])
+            for out in open_.values():
+                out.file.close()
+        return Staged([(t, p, open_[t, p].count, open_[t, p].path) for t, p in sorted(open_)])
 
     def _publish(self, messages: list, batch_id: int | str) -> None:
         log = Log(self.options.path)

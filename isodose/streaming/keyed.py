@@ -1,12 +1,13 @@
 """Products per sensor on Spark's keyed state, with a time to live.
 
 One stateful operator keeps one short value per sensor in the RocksDB store: what the newest
-reading, the last alert and the moving average need.  A batch reads and writes the values of the
-sensors that are in it and of no others.  The operator is called once for each shard of sensors in
-a batch, not for each sensor: a call costs about as much as a thousand rows.  The time to live
-follows each sensor's own silence: a reading that arrives more than the limit after the one before
-starts afresh, in whatever batch it comes, so the result does not depend on how a stream is cut.  A
-timer per shard removes values that no reading can reach any more; it changes no result.
+reading, the last alert and the moving average need.  Sensors are dealt over a fixed number of
+pages; a batch reads and writes the pages of the sensors that are in it and no others.  Pages are
+dealt over shards, and the operator is called once for each shard in a batch: a call for every
+sensor costs as much as a thousand rows, and an access to the store as much as a hundred.  The time
+to live follows each sensor's own silence: a reading that arrives more than the limit after the one
+before starts afresh, in whatever batch it comes, so the result does not depend on how a stream is
+cut.  A timer per shard removes values that no reading can reach any more; it changes no result.
 
 Readings must not arrive behind the watermark (latest arrival less the lateness allowed): Spark
 drops such rows of a stream with a time to live and counts them in the progress.
@@ -15,6 +16,8 @@ drops such rows of a stream with a time to live and counts them in the progress.
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -34,8 +37,8 @@ PRODUCTS = ("current", "alerts", "spikes")
 #: Names with a leading underscore do not reach the operator.
 _SEEN = "keyed_seen_us"
 _SHARD = "keyed_shard"
-#: Sensors are dealt over so many shards; a checkpoint holds for its number only.
-SHARDS = 1024
+#: Shards, and pages of each: a checkpoint holds for these numbers only.
+SHARDS, PAGES = 1024, 64
 #: A shard is searched for values past their time to live so many times per time to live at most.
 _SWEEPS = 4
 _MARKS = [
@@ -45,9 +48,8 @@ _MARKS = [
     T.StructField("previous_cpm", T.DoubleType()),
     T.StructField("average_before", T.DoubleType()),
 ]
-_STATE = (
-    "seen long, newest long, alert_at long, alert_level string, previous double, average double"
-)
+#: Value of a sensor: latest arrival and newest capture seen, time and level of the last alert,
+#: last reading and moving average.
 _UNKNOWN = (None,) * 6
 
 
@@ -72,6 +74,15 @@ def _newest(times, restarts, seeds):
     return mask, after
 
 
+def _packed(sensors: dict[str, tuple]) -> str:
+    """Values of a page as text; doubles come back bit for bit."""
+    return json.dumps([[name, *state] for name, state in sensors.items()])
+
+
+def _unpacked(text: str) -> dict[str, tuple]:
+    return {name: tuple(state) for name, *state in json.loads(text)}
+
+
 class SensorProducts(StatefulProcessor):
     """Marks each reading as newest, alert or spike of its sensor, for all sensors of a shard."""
 
@@ -80,14 +91,21 @@ class SensorProducts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getMapState("sensors", "sensor_key string", _STATE)
+        # One text per page: a row of many columns brings its schema along at each access.
+        self.state = handle.getMapState("pages", "page int", "sensors string")
+
+    def _read(self, page: int) -> dict[str, tuple]:
+        found = self.state.getValue((page,))
+        return {} if found is None else _unpacked(found[0])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         frame = pd.concat(list(rows)).sort_values(["sensor_key", *self.order], kind="stable", ignore_index=True)
         names = frame["sensor_key"].to_numpy(object)
         starts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
         lasts = np.r_[starts[1:], len(frame)] - 1
-        found = [self.state.getValue((name,)) or _UNKNOWN for name in names[starts]]
+        page_of = [zlib.crc32((name or "").encode()) % PAGES for name in names[starts]]
+        pages = {page: self._read(page) for page in sorted(set(page_of))}
+        found = [pages[page].get(name, _UNKNOWN) for page, name in zip(page_of, names[starts], strict=True)]
         times = frame[_SEEN].to_numpy(np.int64)
         captured = frame["captured_at"].to_numpy(np.int64)
         cpm = frame["cpm"].tolist()
@@ -132,12 +150,14 @@ class SensorProducts(StatefulProcessor):
         )
 
         seen = np.maximum.reduceat(times, starts).tolist()
-        for name, state, latest, i in zip(names[starts], found, seen, lasts.tolist(), strict=True):
+        for page, state, latest, i in zip(page_of, found, seen, lasts.tolist(), strict=True):
             latest = latest if state[0] is None else max(state[0], latest)
             at, level = last_alert.get(stretch[i], seeds[stretch[i]][2:4])
             # The average after the row: the step of ema_before.
             mean = cpm[i] if averages[i] is None else alpha * cpm[i] + (1 - alpha) * averages[i]
-            self.state.updateValue((name,), (latest, newest[i], at, level, cpm[i], mean))
+            pages[page][names[i]] = (latest, newest[i], at, level, cpm[i], mean)
+        for page, sensors in pages.items():
+            self.state.updateValue((page,), (_packed(sensors),))
         if self.ttl_us is not None and next(iter(self.handle.listTimers()), None) is None:
             self.handle.registerTimer(self._due(min(seen)))
         marked = frame[frame["is_current"] | frame["is_alert"] | frame["is_spike"]]
@@ -146,15 +166,17 @@ class SensorProducts(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         """One timer per shard: it removes the values that are due, and waits for the next one to be."""
-        now, left = timerValues.getCurrentWatermarkInMs(), None
-        for name, state in list(self.state.iterator()):
-            due = self._due(state[0])
-            if due <= now:
-                self.state.removeKey(name)
-            else:
-                left = due if left is None else min(left, due)
-        if left is not None:
-            self.handle.registerTimer(max(left, now + self.ttl_us // 1000 // _SWEEPS))
+        now, left = timerValues.getCurrentWatermarkInMs(), []
+        for page, (text,) in list(self.state.iterator()):
+            sensors = _unpacked(text)
+            waiting = {name: state for name, state in sensors.items() if self._due(state[0]) > now}
+            left += [self._due(state[0]) for state in waiting.values()]
+            if not waiting:
+                self.state.removeKey(page)
+            elif len(waiting) < len(sensors):
+                self.state.updateValue(page, (_packed(waiting),))
+        if left:
+            self.handle.registerTimer(max(min(left), now + self.ttl_us // 1000 // _SWEEPS))
         return iter(())
 
     def _due(self, seen_us: int) -> int:
