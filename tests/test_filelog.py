@@ -8,6 +8,7 @@ import time
 from datetime import UTC, datetime, timedelta
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from test_streaming import SETTINGS, START, as_set, messages
@@ -147,6 +148,44 @@ def test_lost_notes(spark, tmp_path, lost):
     assert got == sorted(f"v{i}" for i in range(30))
 
 
+def test_tasks_share_the_records(spark, tmp_path, monkeypatch):
+    """Small segments are read together, large ones by several tasks, in order and without what is skipped."""
+    path = str(tmp_path / "log")
+    writer = filelog.LogWriter(_Options({"path": path, "partitions": "2"}))
+    for first in range(0, 300, 10):
+        rows = [{"topic": "t", "key": k, "value": v, "timestamp": t} for k, v, t in plain(10, first)]
+        writer.stage = str(first)
+        writer.commit([writer.write(iter([pa.RecordBatch.from_pylist(rows)]))])
+    segments = [s for p in Log(path).partitions("t") for s in Log(path).segments("t", p)]
+    assert len(segments) > 40
+    reader = filelog.LogReader(_Options({"path": path}))
+    assert len(reader.partitions()) == 1
+    whole = [r for share in reader.partitions() for b in reader.read(share) for r in b.to_pylist()]
+    assert sorted(r["value"] for r in whole) == sorted(f"v{i}" for i in range(300))
+    assert [(r["partition"], r["offset"]) for r in whole] == [(s.partition, s.first + i) for s in segments for i in range(s.count)]
+    monkeypatch.setattr(filelog, "_LEAST", 7)
+    monkeypatch.setattr(filelog, "_TASKS", 40)
+    shares = reader.partitions()
+    assert len(shares) == 38  # of 8 records
+    assert [r for share in shares for b in reader.read(share) for r in b.to_pylist()] == whole
+
+
+def test_row_groups_do_not_follow_the_batches(tmp_path, monkeypatch):
+    """A segment's row groups are of a size, and those before the first record asked for are not read."""
+    path = str(tmp_path / "log")
+    writer = filelog.LogWriter(_Options({"path": path, "partitions": "1"}))
+    monkeypatch.setattr(filelog, "_BATCH", 100)
+    rows = [{"topic": "t", "key": None, "value": v, "timestamp": t} for _, v, t in plain(1000)]
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 10]) for i in range(0, 1000, 10)]
+    writer.commit([writer.write(iter(batches))])
+    (segment,) = Log(path).segments("t", 0)
+    assert [pq.ParquetFile(segment.path).metadata.row_group(i).num_rows for i in range(10)] == [100] * 10
+    for skip, take in ((0, 1000), (0, 1), (99, 2), (100, 100), (555, 333), (999, 1)):
+        read = list(filelog._read(path, filelog.Share([filelog.Stretch(segment, skip, take)])))
+        assert [r["value"] for b in read for r in b.to_pylist()] == [f"v{i}" for i in range(skip, skip + take)]
+        assert [r["offset"] for b in read for r in b.to_pylist()] == list(range(skip, skip + take))
+
+
 # Publishing
 
 

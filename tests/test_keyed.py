@@ -4,6 +4,7 @@ import json
 from datetime import timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_streaming import LINE, ORDER, SETTINGS, START, as_set, feed, source
@@ -129,3 +130,85 @@ def test_epochs():
     assert keyed.epochs(np.array([41, 42]) * s, 1 * s, 40 * s).tolist() == [0, 0]
     assert keyed.epochs(np.array([42, 43]) * s, 1 * s, 40 * s).tolist() == [1, 1]
     assert keyed.epochs(np.array([5, 900]) * s, 1, None).tolist() == [0, 0]
+
+
+class Store:
+    """State and timers of one shard, with a count of accesses."""
+
+    def __init__(self):
+        self.held, self.timers, self.accesses = {}, [], 0
+
+    def getMapState(self, *_):  # noqa: N802
+        return self
+
+    def getValue(self, key):  # noqa: N802
+        self.accesses += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.accesses += 1
+        self.held[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        del self.held[key]
+
+    def iterator(self):
+        return iter(self.held.items())
+
+    def listTimers(self):  # noqa: N802
+        return iter(self.timers)
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.now
+
+
+def shard(rng, names, second, size):
+    frame = pd.DataFrame({"sensor_key": rng.choice(names, size), "captured_at": rng.integers(0, 500, size) * 1000})
+    frame["keyed_seen_us"] = np.sort(rng.integers(second, second + 100, size)) * 1_000_000 + np.arange(size)
+    frame["cpm"] = rng.uniform(1, 200, size)
+    frame["level"] = np.select([frame["cpm"] > 150, frame["cpm"] > 50], ["high", "warning"], "safe")
+    return frame
+
+
+def marked(frames, ttl_us, store):
+    operator = keyed.SensorProducts(SETTINGS, ["keyed_seen_us"], ttl_us)
+    operator.init(store)
+    found = [part for frame in frames for part in operator.handleInputRows((0,), iter([frame[:70], frame[70:]]), store)]
+    rows = pd.concat(found).sort_values("keyed_seen_us", ignore_index=True)
+    assert rows[["is_current", "is_alert", "is_spike"]].any(axis=1).all()
+    return rows
+
+
+@pytest.mark.parametrize("ttl_us", [None, 40_000_000])
+def test_sensors_of_a_shard_share_calls_and_accesses(ttl_us):
+    """All at once or each sensor by itself: the same rows; the store is asked once for each page."""
+    rng = np.random.default_rng(3)
+    names = np.array([f"S{i}" for i in range(300)])
+    frames = [shard(rng, names, 100 * i, 900) for i in range(3)]
+    store = Store()
+    together = marked(frames, ttl_us, store)
+    assert store.accesses <= 2 * keyed.PAGES * len(frames)
+    alone = [marked([f[f["sensor_key"] == n] for f in frames if (f["sensor_key"] == n).any()], ttl_us, Store()) for n in names]
+    alone = pd.concat(alone).sort_values("keyed_seen_us", ignore_index=True)
+    assert len(alone) > 500
+    pd.testing.assert_frame_equal(together, alone, check_exact=True)
+
+
+def test_sweep_removes_what_is_due():
+    """Values past their time leave with the next timer of the shard; the others stay and have one timer."""
+    store, operator = Store(), keyed.SensorProducts(SETTINGS, ["keyed_seen_us"], 40_000_000)
+    operator.init(store)
+    frame = pd.DataFrame({"sensor_key": ["a", "b", None], "captured_at": [1, 2, 3], "cpm": [60.0] * 3, "level": ["high"] * 3})
+    frame["keyed_seen_us"] = [1_000_000, 30_000_000, 31_000_000]
+    assert len(next(operator.handleInputRows((0,), iter([frame]), store))) == 3
+    assert store.timers == [41_001]
+    store.now = 50_000
+    list(operator.handleExpiredTimer((0,), store, None))
+    assert {name for (text,) in store.held.values() for name in keyed._unpacked(text)} == {"b", None}
+    assert store.timers == [41_001, 70_001]
+    store.now = 80_000
+    list(operator.handleExpiredTimer((0,), store, None))
+    assert store.held == {} and len(store.timers) == 2
